@@ -6,10 +6,12 @@ that is true when the text has to be rejected.  Both are built-in column express
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .timeofday import parse_hhmm, parse_hhmmh
+from .timeofday import HHMM, parse_hhmm, parse_hhmmh
 
 FOREVER = "9999-12-31"
 
@@ -19,37 +21,38 @@ def _int(text: Column) -> Column:
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(year, month, day, zero, zero, zero).cast("date")
+    """A date from its digits, NULL when there is no such day."""
+    return F.concat_ws("-", year, month, day).try_cast("date")
 
 
 def _open_ended(text: Column, date: Column) -> Column:
     return F.when(text == "999999", F.lit(FOREVER).cast("date")).otherwise(date)
 
 
-def _century(yy: Column) -> Column:
-    return F.when(yy >= 60, yy + 1900).otherwise(yy + 2000)
+def _two(text: Column, start: int) -> Column:
+    return F.substring(text, start, 2)
 
 
-def _part(text: Column, start: int, length: int = 2) -> Column:
-    return _int(F.substring(text, start, length))
+def _century(yy: Column) -> Column:
+    return F.concat(F.when(yy >= "60", "19").otherwise("20"), yy)
 
 
 def date_ddmmyy(text: Column) -> Column:
-    return _open_ended(text, _date(_century(_part(text, 5)), _part(text, 3), _part(text, 1)))
+    return _open_ended(text, _date(_century(_two(text, 5)), _two(text, 3), _two(text, 1)))
 
 
 def date_yymmdd(text: Column) -> Column:
-    return _open_ended(text, _date(_century(_part(text, 1)), _part(text, 3), _part(text, 5)))
+    return _open_ended(text, _date(_century(_two(text, 1)), _two(text, 3), _two(text, 5)))
 
 
 def date_yymmdd_1956(text: Column) -> Column:
-    return _open_ended(text, _date(_part(text, 1) + 1956, _part(text, 3), _part(text, 5)))
+    year = (_two(text, 1).try_cast("int") + 1956).cast("string")
+    return _open_ended(text, F.when(year.isNotNull(), _date(year, _two(text, 3), _two(text, 5))))
 
 
 def date_ddmmyyyy(text: Column) -> Column:
     """``DD/MM/YYYY``; the separators are not looked at."""
-    return _date(_part(text, 7, 4), _part(text, 4), _part(text, 1))
+    return _date(F.substring(text, 7, 4), _two(text, 4), _two(text, 1))
 
 
 def days_run(text: Column) -> Column:
@@ -103,3 +106,24 @@ def rejected(kind: str, text: Column, allowed: tuple[str, ...] = ()) -> Column |
         return ~text.isin(*allowed)
     bad = decode(kind, text).isNull()
     return bad & (F.trim(text) != "") if kind.endswith("?") else bad
+
+
+def pattern(kind: str, length: int, allowed: tuple[str, ...] = ()) -> str | None:
+    """The shape of legal text of a fixed length; None for kinds that accept anything."""
+    if kind == "flag":
+        return "[" + "".join(re.escape(c) for c in allowed) + "]"
+    if kind in ("int", "int?"):
+        # digits with blanks on either side
+        shapes = [f" {{{left}}}[0-9]{{{n}}} {{{length - left - n}}}"
+                  for n in range(length, 0, -1) for left in range(length - n + 1)]
+        blank = [f" {{{length}}}"] if kind == "int?" else []
+        return "(?:" + "|".join(shapes + blank) + ")"
+    return {
+        "time": HHMM,
+        "timeh": HHMM + r"\p{ASCII}",
+        "timeh?": f"(?:{HHMM}" + r"\p{ASCII}| {5})",
+        "ddmmyy": "[0-9]{6}",
+        "yymmdd": "[0-9]{6}",
+        "yymmdd1956": "[0-9]{6}",
+        "days": "[01]{7}",
+    }.get(kind)

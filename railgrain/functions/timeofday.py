@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 DAY = 86400
 
+# a digit of either number may be left blank
+HHMM = "(?:[01 ][0-9]|2[0-3]|[0-9] )(?:[0-5 ][0-9]|[0-9] )"
+
 
 def parse_hhmm(text: Column) -> Column:
     """``HHMM`` as seconds, NULL when it is blank or is no time of day."""
-    hour = F.trim(F.substring(text, 1, 2)).try_cast("int")
-    minute = F.trim(F.substring(text, 3, 2)).try_cast("int")
-    return F.when(hour.between(0, 23) & minute.between(0, 59), hour * 3600 + minute * 60)
+    hour = F.substring(text, 1, 2).try_cast("int")
+    minute = F.substring(text, 3, 2).try_cast("int")
+    return F.when(text.rlike(f"^{HHMM}"), hour * 3600 + minute * 60)
 
 
 def parse_hhmmh(text: Column) -> Column:

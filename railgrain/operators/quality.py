@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.stations import SEQUENCE, StationScan
-from ..sources.timetable import TimetableScan, legal_sequence
+from ..sources.timetable import TimetableScan, legal_sequence, record_types
 
 
 def timetable_sequence(scan: TimetableScan) -> DataFrame:
@@ -15,9 +15,10 @@ def timetable_sequence(scan: TimetableScan) -> DataFrame:
     Inside a block the order is tested with a pattern.  Across blocks, every file must start with a header
     and nothing may follow its end record; that needs only two aggregates per file.
     """
-    blocks = scan.blocks().select("file", "position", "codes")
-    inside = blocks.filter(~legal_sequence()).select("file", "codes", F.lit("order of records").alias("reason"))
-    header, end = F.col("codes").startswith("HD"), F.col("codes").endswith("ZZ")
+    blocks = scan.blocks()
+    inside = blocks.filter(~legal_sequence()).select(
+        "file", record_types().alias("codes"), F.lit("order of records").alias("reason"))
+    header, end = F.col("block").startswith("HD"), F.col("block").rlike(r"\nZZ[^\n]*\z")
     files = blocks.groupBy("file").agg(
         F.min("position").alias("first"), F.min(F.when(header, F.col("position"))).alias("first_header"),
         F.max("position").alias("last"), F.min(F.when(end, F.col("position"))).alias("first_end"),

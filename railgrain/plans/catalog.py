@@ -362,7 +362,7 @@ def _(t: Tables) -> DataFrame:
     from ..sources.layouts import Field
     from ..sources.records import columns
 
-    lines = read_timetable(t.spark, text.timetable_text(t)).blocks().select(F.explode("lines").alias("line"))
+    lines = t.spark.read.text(text.timetable_text(t)).select(F.col("value").alias("line"))
     layout = [Field("location", 3, 7), Field("record_type", 1, 2)]
     return lines.filter(F.col("line").rlike("^L[OIT]")).select(*columns(F.col("line"), layout)).groupBy(
         "location", "record_type").agg(F.count(F.lit(1)).alias("n"))

@@ -21,4 +21,4 @@ def read_interchange(spark: SparkSession, path: str, mode: str = "failfast") ->
         if bad is not None:
             found.append(F.when(bad, F.lit(name)))
         out.append(decode(kind, text).alias(name))
-    return judged(parts, found, out, mode)
+    return judged(parts, F.coalesce(*found).isNull(), found, out, mode)

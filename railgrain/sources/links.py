@@ -32,4 +32,4 @@ def read_fixed_links(spark: SparkSession, path: str, mode: str = "failfast") ->
         if bad is not None:
             found.append(F.when(text.isNotNull() & bad, F.lit(name)))
         out.append(decode(kind, text).alias(name))
-    return judged(given, found, out, mode)
+    return judged(given, F.coalesce(*found).isNull(), found, out, mode)

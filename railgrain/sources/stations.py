@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import layouts as L
-from .records import columns, judged, problems
+from .records import columns, judged, problems, well_formed
 
 # Which record type may follow which.
 _TRAILERS = "Z0M-E"
@@ -45,7 +45,8 @@ class StationScan:
         line = F.col("line")
         typed = lines.filter(F.col("value").startswith(record_type)).select(
             F.rpad("value", L.STATION_WIDTH, " ").alias("line"))
-        return judged(typed, problems(line, layout), columns(line, layout), self._mode)
+        return judged(typed, well_formed(line, {record_type: layout}), problems(line, layout),
+                      columns(line, layout), self._mode)
 
     def station_detail(self) -> DataFrame:
         return self._table("A", L.STATION_DETAIL)

@@ -9,32 +9,43 @@ worked out inside its own row.  No shuffle, window or sort is involved.  Records
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decoders import decode
 from . import layouts as L
-from .records import columns, judged, problems, raw
+from .records import columns, judged, once, problems, raw, well_formed
 
 VARIANTS = ("standard", "ztrain")
 KEY = ("train_uid", "date_runs_from", "stp_indicator")
 
-# Which record types may follow one another, as a pattern over one block's 2-letter types.
-HEADER_SEQUENCE = "HD(TI)*(TA)*(TD)*(AA)*(ZZ)?"
-SCHEDULE_SEQUENCE = "BS(ZZ)?|BS(BX)?(TN)?LO(LI|CR(?=LI|LT))*LT(ZZ)?"
+# Which record types may follow one another.  Repeats are possessive, so that matching a
+# block of any length needs no recursion.
+HEADER_SEQUENCE = "HD(?:TI)*+(?:TA)*+(?:TD)*+(?:AA)*+(?:ZZ)?"
+SCHEDULE_SEQUENCE = "BS(?:ZZ)?|BS(?:BX)?(?:TN)?LO(?:LI|CR(?=LI|LT))*+LT(?:ZZ)?"
+
+STOP_LAYOUTS = {"LO": L.ORIGIN_LOCATION, "LI": L.INTERMEDIATE_LOCATION, "LT": L.TERMINATING_LOCATION}
 
-STOP_TYPES = ("LO", "LI", "LT")
+
+def _over_lines(sequence: str) -> str:
+    """A pattern over record types as a pattern over whole lines."""
+    return re.sub("[A-Z]{2}", lambda m: rf"(?:{m[0]}[^\n]*+(?:\n|\z))", sequence)
 
 
 def _type(line: Column) -> Column:
     return F.substring(line, 1, 2)
 
 
-def _of_type(lines: Column, *types: str) -> Column:
-    return F.filter(lines, lambda line: _type(line).isin(*types))
+def _padded(line: Column) -> Column:
+    return F.rpad(line, L.TIMETABLE_WIDTH, " ")
 
 
-def _first(lines: Column, record_type: str) -> Column:
-    return F.try_element_at(_of_type(lines, record_type), F.lit(1))
+def _line_of(record_type: str) -> Column:
+    """The block's first line of a type, padded; NULL when there is none."""
+    line = F.regexp_extract("block", rf"\n({record_type}[^\n]*)", 1)
+    return F.when(line != "", _padded(line))
 
 
 class TimetableScan:
@@ -45,45 +56,41 @@ class TimetableScan:
             raise ValueError(f"variant must be one of {VARIANTS}")
         self._spark, self._path, self._mode = spark, path, mode
         ztrain = variant == "ztrain"
-        self._header = () if ztrain else L.HEADER
         self._schedule = L.ZTRAIN_BASIC_SCHEDULE if ztrain else L.BASIC_SCHEDULE
         self._extra = L.ZTRAIN_EXTRA_DETAILS if ztrain else L.EXTRA_DETAILS
 
     # -- scans ---------------------------------------------------------------------------------------
 
     def blocks(self) -> DataFrame:
-        """One row per train, plus one for each file's leading records: its lines, padded, and type codes."""
+        """One row per train, plus one for each file's leading records; lines are separated by newlines."""
         text = self._spark.read.option("lineSep", "\nBS").text(self._path)
-        value = F.regexp_replace("value", "(\r?\n)+$", "")
+        value = F.rtrim(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r\n"))
         whole = F.when(value.startswith("HD"), value).otherwise(F.concat(F.lit("BS"), value))
-        lines = F.transform(F.split(whole, "\r?\n"), lambda line: F.rpad(line, L.TIMETABLE_WIDTH, " "))
         return text.select(
             F.col("_metadata.file_path").alias("file"),
             F.struct(F.col("_metadata.file_block_start").alias("split"),
                      F.monotonically_increasing_id().alias("row")).alias("position"),
-            lines.alias("lines"),
-        ).withColumn("codes", F.array_join(F.transform("lines", _type), ""))
+            once(block=whole))
 
     def _trains(self) -> DataFrame:
         blocks = self.blocks()
         if self._mode == "failfast":
-            blocks = blocks.filter(F.when(legal_sequence(), True).otherwise(F.raise_error(
-                F.concat(F.lit("unexpected record sequence "), F.col("codes"))).cast("boolean")))
-        return blocks.filter(F.col("codes").startswith("BS"))
-
-    def _lines(self, record_type: str) -> DataFrame:
-        line = F.rpad("value", L.TIMETABLE_WIDTH, " ")
-        return self._spark.read.text(self._path).filter(
-            F.col("value").startswith(record_type)).select(line.alias("line"))
+            stop = F.raise_error(F.concat(F.lit("unexpected record sequence "), record_types()))
+            blocks = blocks.filter(F.when(legal_sequence(), True).otherwise(stop.cast("boolean")))
+        return blocks.filter(F.col("block").startswith("BS"))
 
     def _standalone(self, record_type: str, layout) -> DataFrame:
+        """Records that need no context, read line by line."""
+        lines = self._spark.read.text(self._path).filter(F.col("value").startswith(record_type)).select(
+            _padded(F.col("value")).alias("line"))
         line = F.col("line")
-        return judged(self._lines(record_type), problems(line, layout), columns(line, layout), self._mode)
+        return judged(lines, well_formed(line, {record_type: layout}), problems(line, layout),
+                      columns(line, layout), self._mode)
 
     # -- tables --------------------------------------------------------------------------------------
 
     def header(self) -> DataFrame:
-        return self._standalone("HD", self._header)
+        return self._standalone("HD", L.HEADER)
 
     def tiploc_insert(self) -> DataFrame:
         return self._standalone("TI", L.TIPLOC_INSERT)
@@ -99,93 +106,96 @@ class TimetableScan:
 
     def basic_schedule(self) -> DataFrame:
         """BS joined with its optional BX and TN.  A schedule with no stops is kept only if it cancels."""
-        lines = F.col("lines")
-        parts = self._trains().select(
-            lines[0].alias("bs"), _first(lines, "BX").alias("bx"), _first(lines, "TN").alias("tn"),
-            F.exists(lines, lambda line: _type(line) == "LO").alias("has_stops"))
-        cancels = F.substring("bs", 80, 1) == "C"
-        found = problems(F.col("bs"), self._schedule)
-        for name, layout in (("bx", self._extra), ("tn", L.NOTE)):
-            found += [F.when(F.col(name).isNotNull(), p) for p in problems(F.col(name), layout)]
-        found.append(F.when(cancels & F.col("has_stops"), F.lit("cancellation with stops")))
-        out = [c for name, layout in (("bs", self._schedule), ("bx", self._extra), ("tn", L.NOTE))
-               for c in columns(F.col(name), layout)]
-        return judged(parts.filter(F.col("has_stops") | cancels), found, out, self._mode)
-
-    def _train_lines(self) -> DataFrame:
-        """Per train: its key, its stop lines, and the number of its first stop past midnight."""
+        block = F.col("block")
+        parts = self._trains().select(once(
+            bs=_padded(F.substring_index(block, "\n", 1)), bx=_line_of("BX"), tn=_line_of("TN"),
+            has_stops=block.contains("\nLO")))
+        cancels = F.substring("bs", L.TIMETABLE_WIDTH, 1) == "C"
+        layouts = {"bs": self._schedule, "bx": self._extra, "tn": L.NOTE}
+        valid = ~(cancels & F.col("has_stops"))
+        found = [F.when(~valid, F.lit("cancellation with stops"))]
+        for name, layout in layouts.items():
+            line = F.col(name)
+            valid = valid & (line.isNull() | well_formed(line, {name.upper(): layout}))
+            found += [F.when(line.isNotNull(), p) for p in problems(line, layout)]
+        out = [c for name, layout in layouts.items() for c in columns(F.col(name), layout)]
+        return judged(parts.filter(F.col("has_stops") | cancels), valid, found, out, self._mode)
+
+    def _train_lines(self, lines: Column) -> DataFrame:
+        """Per train: its key, some of its lines, and the number of its first stop past midnight."""
         fields = {f.name: f for f in self._schedule}
-        key = columns(F.col("lines")[0], [fields[name] for name in KEY])
-        stops = _of_type(F.col("lines"), *STOP_TYPES)
-        return self._trains().select(*key, "lines", "codes", stops.alias("stops")).withColumn(
-            "midnight", _first_stop_past_midnight(F.col("stops")))
+        key = columns(_padded(F.col("block")), [fields[name] for name in KEY])
+        return self._trains().select(*key, "block", lines.alias("lines"), _stop_clocks().alias("clocks")).select(
+            *KEY, "block", "lines", _first_stop_past_midnight("clocks").alias("midnight"))
 
     def _stop_lines(self) -> DataFrame:
         """One row per LO/LI/LT line, numbered from 0 at the origin."""
-        return self._train_lines().select(
-            *KEY, "midnight", F.posexplode("stops").alias("loc_order", "line")
-        ).select(*KEY, "loc_order", _past_midnight(), "line")
+        stops = F.regexp_extract_all("block", F.lit(r"\n(L[OIT][^\n]*)"), 1)
+        return self._train_lines(stops).select(
+            *KEY, "midnight", F.posexplode("lines").alias("loc_order", "line")
+        ).select(*KEY, "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
 
     def _side_lines(self, record_type: str) -> DataFrame:
         """Lines that belong to the stop before them: they take over its number and flag."""
-        numbered = F.filter(
-            F.transform("lines", lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-            lambda x: _type(x["line"]) == record_type)
-        # the codes before the line, less everything that is not a stop
-        before = F.regexp_replace(F.expr("substring(codes, 1, 2 * item.i)"), "BS|BX|TN|CR|LN|ZZ", "")
-        return self._train_lines().select(
-            *KEY, "midnight", "codes", F.explode(numbered).alias("item")
-        ).withColumn("loc_order", (F.length(before) / 2 - 1).cast("int")
-        ).select(*KEY, "loc_order", _past_midnight(), F.col("item.line").alias("line"))
-
-    def _located(self, lines: DataFrame, layout, extra_problems=()) -> DataFrame:
-        line = F.col("line")
-        return judged(lines, problems(line, layout) + list(extra_problems),
-                      [*(F.col(c) for c in (*KEY, "loc_order", "xmidnight")), *columns(line, layout)],
-                      self._mode)
+        # the lines before it in the block tell how many stops came first
+        after_each_stop = F.split("block", r"\n(?=L[OIT])")
+        trains = self._train_lines(after_each_stop).filter(F.col("block").contains(f"\n{record_type}"))
+        calls = trains.select(*KEY, "midnight", F.posexplode("lines").alias("part", "call"))
+        sides = F.regexp_extract_all("call", F.lit(rf"\n({record_type}[^\n]*)"), 1)
+        return calls.select(
+            *KEY, "midnight", (F.col("part") - 1).alias("loc_order"), F.explode(sides).alias("line")
+        ).select(*KEY, "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
+
+    def _located(self, lines: DataFrame, layouts: dict, out: list[Column]) -> DataFrame:
+        line, several = F.col("line"), len(layouts) > 1
+        valid = well_formed(line, layouts)
+        found = [F.when(_type(line) == record_type, p) if several else p
+                 for record_type, layout in layouts.items() for p in problems(line, layout)]
+        if "LI" in layouts:
+            timeless = (_type(line) == "LI") & (F.trim(F.substring(line, 11, 15)) == "")
+            valid, found = valid & ~timeless, [*found, F.when(timeless, F.lit("no time"))]
+        header = [F.col(c) for c in (*KEY, "loc_order", "xmidnight")]
+        return judged(lines, valid, found, header + out, self._mode)
+
+    def _table(self, lines: DataFrame, record_type: str, layout) -> DataFrame:
+        return self._located(lines, {record_type: layout}, columns(F.col("line"), layout))
 
     def _stops_of(self, record_type: str) -> DataFrame:
-        return self._stop_lines().filter(_type(F.col("line")) == record_type)
+        stops = self._stop_lines().filter(_type(F.col("line")) == record_type)
+        return self._table(stops, record_type, STOP_LAYOUTS[record_type])
 
     def origin_location(self) -> DataFrame:
-        return self._located(self._stops_of("LO"), L.ORIGIN_LOCATION)
+        return self._stops_of("LO")
 
     def intermediate_location(self) -> DataFrame:
-        no_time = F.when(_stop_clock(F.col("line")).isNull(), F.lit("no time"))
-        return self._located(self._stops_of("LI"), L.INTERMEDIATE_LOCATION, [no_time])
+        return self._stops_of("LI")
 
     def terminating_location(self) -> DataFrame:
-        return self._located(self._stops_of("LT"), L.TERMINATING_LOCATION)
+        return self._stops_of("LT")
 
     def changes_en_route(self) -> DataFrame:
-        return self._located(self._side_lines("CR"), L.CHANGES_EN_ROUTE)
+        return self._table(self._side_lines("CR"), "CR", L.CHANGES_EN_ROUTE)
 
     def location_specific_note(self) -> DataFrame:
         """Always empty in ``failfast`` mode: no legal sequence contains such a line."""
-        return self._located(self._side_lines("LN"), L.NOTE)
+        return self._table(self._side_lines("LN"), "LN", L.NOTE)
 
     def stops(self) -> DataFrame:
         """The three stop tables as one: what the timetable queries read."""
         line = F.col("line")
-        layout_of = {"LO": L.ORIGIN_LOCATION, "LI": L.INTERMEDIATE_LOCATION, "LT": L.TERMINATING_LOCATION}
 
         def pick(name: str) -> Column:
-            """The field from whichever layout the line has, NULL where that layout lacks it."""
-            value = F.lit(None)
-            for record_type, layout in layout_of.items():
+            """The field from where the line's layout has it, NULL if that layout lacks it."""
+            text, kind = F.lit(None).cast("string"), "text"
+            for record_type, layout in STOP_LAYOUTS.items():
                 for field in layout:
                     if field.name == name:
-                        (decoded,) = columns(line, [field])
-                        value = F.when(_type(line) == record_type, decoded).otherwise(value)
-            return value.alias(name)
-
-        found = [F.when(_type(line) == record_type, p)
-                 for record_type, layout in layout_of.items() for p in problems(line, layout)]
-        found.append(F.when(_stop_clock(line).isNull(), F.lit("no time")))
-        fields = ("location", "scheduled_arrival", "scheduled_departure", "scheduled_pass", "platform")
-        return judged(self._stop_lines(), found,
-                      [*(F.col(c) for c in (*KEY, "loc_order", "xmidnight")), *map(pick, fields)],
-                      self._mode)
+                        text, kind = F.when(_type(line) == record_type, raw(line, field)).otherwise(text), field.kind
+            return decode(kind, text).alias(name)
+
+        location = columns(line, L.ORIGIN_LOCATION[:1])
+        rest = [pick(n) for n in ("scheduled_arrival", "scheduled_departure", "scheduled_pass", "platform")]
+        return self._located(self._stop_lines(), STOP_LAYOUTS, location + rest)
 
     def tables(self) -> dict[str, DataFrame]:
         names = ("basic_schedule", "origin_location", "intermediate_location", "changes_en_route",
@@ -201,26 +211,28 @@ def read_timetable(spark: SparkSession, path: str, variant: str = "standard",
 
 def legal_sequence() -> Column:
     """Whether a block's records are in a legal order."""
-    return F.col("codes").rlike(f"^({HEADER_SEQUENCE}|{SCHEDULE_SEQUENCE})$")
+    return F.col("block").rlike(rf"^(?:{_over_lines(HEADER_SEQUENCE)}|{_over_lines(SCHEDULE_SEQUENCE)})\z")
+
+
+def record_types() -> Column:
+    """The types of a block's records, one after the other."""
+    return F.regexp_replace(F.regexp_replace("block", "(?m)^$", "  "), r"(?m)^(..?)[^\n]*\n?", "$1")
 
 
-def _stop_clock(line: Column) -> Column:
-    """The time that places a stop in the day, as its 5 characters: arrival, else departure, else pass.
+def _stop_clocks() -> Column:
+    """For each stop the time that places it in the day, as text: arrival, else departure, else pass.
 
     Origins and ends have their only time in the place of the arrival.  ``H`` sorts after blank, so the
     text sorts as the time does.
     """
-    times = [F.substring(line, start, 5) for start in (11, 16, 21)]
-    given = [F.when(F.trim(t) != "", t) for t in times]
-    return F.when(_type(line) == "LI", F.coalesce(*given)).otherwise(given[0])
+    return F.regexp_extract_all("block", F.lit(r"\n(?:LI.{0,8}(?: {5}){0,2}+|L[OT].{0,8})(.{0,5})"), 1)
 
 
-def _first_stop_past_midnight(stops: Column) -> Column:
+def _first_stop_past_midnight(clocks: str) -> Column:
     """Number of the first stop that is earlier in the day than the stop before it; 0 when there is none."""
-    clocks = F.transform(stops, _stop_clock)
-    earlier = F.zip_with(F.slice(clocks, F.lit(2), F.greatest(F.size(clocks), F.lit(1))), clocks,
-                         lambda this, before: this < before)
-    return F.array_position(earlier, True).cast("int")
+    earlier = F.zip_with(F.slice(clocks, F.lit(2), F.size(clocks)), clocks,
+                         lambda this, before: F.rpad(this, 5, " ") < F.rpad(before, 5, " "))
+    return F.coalesce(F.array_position(earlier, True), F.lit(0)).cast("int")
 
 
 def _past_midnight() -> Column:
