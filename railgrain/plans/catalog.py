@@ -741,4 +741,4 @@ select query_id, band, count(*) stations, band * 30 from_minutes from (
   select query_id, cast(floor(round(cast(delay as double) * 60) / 30) as int) band from iso) b
 group by query_id, band""")
 def _(t: Tables) -> DataFrame:
-    return iso.isochron_bands(iso.delays(_labels(t), t.stations()), 30)
+    return iso.isochron_bands(iso.delays(_labels(t, with_path=False), t.stations()), 30)

@@ -24,6 +24,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Cut ``df`` into as many parts as a shuffle has.
+
+    For small tables that are multiplied by what they are joined to: adaptive execution would write them as
+    one file, and one task would then do all the multiplying.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
