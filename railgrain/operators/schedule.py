@@ -27,17 +27,17 @@ def schedules_on(schedules: DataFrame, dates: Iterable[dt.date]) -> DataFrame:
     """Schedules in force on each date: of a train's candidates the ones with the lowest indicator.
 
     Blank sorts before C, C before N, O and P, so a short-term change hides the permanent schedule.
-    Candidates with the same indicator are all kept.  The lowest indicator is a partial aggregate, so a
-    train with very many schedules is reduced before it is shuffled; the join back to the candidates has
+    Candidates with the same indicator are all kept.  The lowest indicator is a hash aggregate, so a train
+    with very many schedules is reduced before it is shuffled; the join back to the candidates has
     its own exchange on both sides, which adaptive execution may split.
     """
     days = sorted(set(dates))
     wanted = F.filter(F.array(*[F.lit(d) for d in days]), _runs_on)
     running = schedules.filter(
         (F.col("date_runs_from") <= F.lit(days[-1])) & (F.col("date_runs_to") >= F.lit(days[0]))
-    ).select(*KEY, F.explode(wanted).alias("service_date"))
-    top = running.groupBy("train_uid", "service_date").agg(F.min("stp_indicator").alias("stp_indicator"))
-    return running.join(top, ["train_uid", "service_date", "stp_indicator"]).select("service_date", *KEY)
+    ).select(*KEY, F.ascii("stp_indicator").alias("rank"), F.explode(wanted).alias("service_date"))
+    top = running.groupBy("train_uid", "service_date").agg(F.min("rank").alias("rank"))
+    return running.join(top, ["train_uid", "service_date", "rank"]).select("service_date", *KEY)
 
 
 def train_timetable(requests: DataFrame, schedules: DataFrame, stops: DataFrame, stations: DataFrame,
