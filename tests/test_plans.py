@@ -59,10 +59,12 @@ def test_hot_train_is_split(spark):
 
 def test_several_dates_match_single_dates(spark):
     base = schedules(spark, 600)
-    stops = base.select("train_uid", "date_runs_from", "stp_indicator").distinct().crossJoin(
-        spark.createDataFrame([(0, False, "S0", None, 84000), (1, True, "S1", 600, None)],
-                              "loc_order int, xmidnight boolean, location string, scheduled_arrival int, "
-                              "scheduled_departure int"))
+    calls = F.expr("""inline(array(
+        named_struct('loc_order', 0, 'xmidnight', false, 'location', 'S0',
+                     'scheduled_arrival', int(null), 'scheduled_departure', 84000),
+        named_struct('loc_order', 1, 'xmidnight', true, 'location', 'S1',
+                     'scheduled_arrival', 600, 'scheduled_departure', int(null))))""")
+    stops = base.select("train_uid", "date_runs_from", "stp_indicator").distinct().select("*", calls)
     days = [DAY + dt.timedelta(days=i) for i in range(3)]
     key = lambda df: sorted(map(tuple, df.collect()), key=str)
     together = key(full_timetable(base, stops, days))
