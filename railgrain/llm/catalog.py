@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, hilbert, host_rules, mixing
+from . import chat, hilbert, host_rules, mixing, pages, token_store, toxicity
 
 QUERIES = {
+    "op1_token_store": token_store.query,
     "op3_host_rules": host_rules.query,
     "op5_hilbert_shards": hilbert.query,
     "op6_chat_format": chat.query,
+    "op7_page_text": pages.query,
     "op9_mix_sources": mixing.query,
+    "op10_toxicity": toxicity.query,
 }
 
 SQL = {

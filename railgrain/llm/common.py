@@ -102,9 +102,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _M)
 
 
-def word_spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and row of every word; a word never crosses a row."""
-    letter = ~_SPACE[data]
+def word_spans(data: np.ndarray, ends: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and row of every word; a word has no byte of the table ``apart`` and never crosses a row."""
+    letter = ~apart[data]
     begin = letter.copy()
     begin[1:] &= ~letter[:-1]
     starts = ends[:-1][ends[:-1] < len(data)]
