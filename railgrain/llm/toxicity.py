@@ -57,13 +57,22 @@ def _counts(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[at], terms[at], np.diff(np.append(at, len(rows)))
 
 
+def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and count of a batch's texts in order of row; a term that a text repeats makes one more term."""
+    rows, terms, tf = _counts(*terms_of(data, ends))
+    more = tf > 1
+    rows, terms = np.append(rows, rows[more]), np.append(terms, ~terms[more])
+    order = np.lexsort((terms, rows))
+    return rows[order], terms[order], np.append(tf, np.ones(int(more.sum()), tf.dtype))[order]
+
+
 def choose_terms(examples: DataFrame) -> np.ndarray:
     """Sorted hashes of the vocabulary.  ``examples`` has text and toxic (0 or 1)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, 0, 16 << 20):
-                rows, terms, _ = _counts(*terms_of(*text_bytes(b.column(0))))
+                rows, terms, _ = features(*text_bytes(b.column(0)))
                 toxic = np.asarray(b.column(1).to_pylist(), np.int64)[rows]
                 keys, place = np.unique(terms, return_inverse=True)
                 with_it = np.bincount(place, toxic, len(keys)).astype(np.int64)
@@ -91,11 +100,11 @@ def vectors(docs: DataFrame, vocabulary: np.ndarray, *keep: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, 0):
-                rows, terms = terms_of(*text_bytes(b.column(0)))
+                rows, terms, tf = features(*text_bytes(b.column(0)))
                 place = np.searchsorted(vocabulary, terms)
                 known = np.flatnonzero(place < len(vocabulary))
                 known = known[vocabulary[place[known]] == terms[known]]
-                rows, terms, tf = _counts(rows[known], place[known])
+                rows, terms, tf = rows[known], place[known], tf[known]
                 starts = np.searchsorted(rows, np.arange(b.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[1:], lists(terms.astype(np.int32), starts), lists(tf.astype(np.int32), starts)],
