@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, hilbert, host_rules, mixing, pages, token_store, toxicity
+from . import chat, decontaminate, hilbert, host_rules, mixing, pages, token_store, toxicity
 
 QUERIES = {
     "op1_token_store": token_store.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_hilbert_shards": hilbert.query,
     "op6_chat_format": chat.query,
     "op7_page_text": pages.query,
+    "op8_decontaminate": decontaminate.query,
     "op9_mix_sources": mixing.query,
     "op10_toxicity": toxicity.query,
 }

@@ -144,3 +144,12 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
+
+
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the letters from U+00C0 to U+00DE in lower case; no byte moves."""
+    data = _LOWER[data]
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    after = after[(data[after] >= 0x80) & (data[after] <= 0x9E) & (data[after] != 0x97)]
+    data[after] += 0x20
+    return data

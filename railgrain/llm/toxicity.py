@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lists, lower_ascii, slices, span_hashes, table, text_bytes, word_spans, written
+from .common import lists, lower_latin, slices, span_hashes, table, text_bytes, word_spans, written
 
 #: Labelled rows that are fitted at most; the bound of the vocabulary, the index and what is broadcast.
 EXAMPLES = 20_000
@@ -37,7 +37,7 @@ _APART = np.array([not (48 <= b < 58 or 97 <= b < 123 or b >= 128) for b in rang
 
 def terms_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and term (a hash) of every occurrence in a batch of texts."""
-    data = lower_ascii(data)
+    data = lower_latin(data)
     begin, end, row = word_spans(data, ends, _APART)
     rows, terms = [row], [span_hashes(data, begin, end)]
     for k in BEGINNINGS:
