@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hilbert, host_rules, mixing, pages, token_store, toxicity
+from . import chat, decontaminate, hilbert, host_rules, jaccard, mixing, pages, token_store, toxicity
 
 QUERIES = {
     "op1_token_store": token_store.query,
+    "op2_jaccard_join": jaccard.query,
     "op3_host_rules": host_rules.query,
     "op5_hilbert_shards": hilbert.query,
     "op6_chat_format": chat.query,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_jaccard_join": jaccard.SQL,
     "op3_host_rules": host_rules.SQL,
     "op6_chat_format": chat.SQL,
 }
