@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hilbert, host_rules, jaccard, mixing, pages, token_store, toxicity
+from . import chat, decontaminate, hilbert, host_rules, jaccard, mixing, pages, suffix_dedup, token_store, toxicity
 
 QUERIES = {
     "op1_token_store": token_store.query,
     "op2_jaccard_join": jaccard.query,
     "op3_host_rules": host_rules.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_hilbert_shards": hilbert.query,
     "op6_chat_format": chat.query,
     "op7_page_text": pages.query,
