@@ -208,11 +208,14 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, url string, host string, path string, lines array<string>, hashes array<long>, marked boolean"
     parsed = written(rows.mapInArrow(parse, schema).withColumn("id", F.monotonically_increasing_id()), "lines")
-    out = parsed.join(differences(parsed), "id", "left")
+    gone = written(differences(parsed), "shared_lines")
     kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept)
-    n = F.size("lines") - F.size(kept)
-    return out.select(F.col("key").alias(key), F.col("url").alias(url), kept.alias("lines"), n.cast("long").alias("n_shared"))
+    # Pages with a marked article lose nothing and need no join.
+    out = parsed.where(~F.col("marked")).join(gone, "id", "left")
+    out = out.select("key", "url", kept.alias("lines"), (F.size("lines") - F.size(kept)).cast("long").alias("n_shared"))
+    out = out.unionByName(parsed.where("marked").select("key", "url", "lines", F.lit(0).cast("long").alias("n_shared")))
+    return out.withColumnsRenamed({"key": key, "url": url})
 
 
 def differences(parsed: DataFrame) -> DataFrame:
