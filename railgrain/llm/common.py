@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def save(df: DataFrame, path: str, **options: str) -> None:
-    """Write ``df`` once as parquet; its shuffle files go as soon as it is written."""
+def save(df: DataFrame, path: str, by: tuple[str, ...] = (), **options: str) -> None:
+    """Write ``df`` once as parquet, in folders by ``by``; its shuffle files go as soon as it is written."""
     spark = df.sparkSession
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.options(**options).parquet(path)
+        df.write.options(**{"compression": "zstd"} | options).partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
 
@@ -48,6 +50,14 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def once_per_process(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in a Python worker from task to task; functions that travel by value have no module to keep it in."""
+    kept = sys.modules.setdefault("_railgrain_worker", types.ModuleType("_railgrain_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 # -- Arrow batches -----------------------------------------------------------------------------------
 
 

@@ -19,6 +19,7 @@ from .common import parts, save, table
 SHARDS = 24
 #: Bits for each dimension: 2 ** BITS quantiles.
 BITS = 5
+OWN = ("shard", "slot_", "curve_", "run_", "place_", "base_", "total_", "rank_", "shard_", "length_")
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -82,9 +83,10 @@ def write_shards(df: DataFrame, dims: list[str], tie: list[str], path: str, n_sh
 
     The rows are sorted once (a range exchange, no gathering), written as runs with their place in the run; the runs'
     lengths, one number each, say where a shard begins, and the runs are cut there without another exchange.
-    Nulls are allowed in every column; equal rows are interchangeable; columns named like ours are not (they end in ``_``).
+    Nulls are allowed in every column and equal rows are interchangeable.  An empty table writes no shard.  Columns of ``df`` that
+    have one of the names that are written or used here (``OWN``) are left out.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, df.drop(*OWN)
     order = ["curve_", *tie]
     ordered = with_curve(df, dims).repartitionByRange(parts(spark), *order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
@@ -102,19 +104,12 @@ def write_shards(df: DataFrame, dims: list[str], tie: list[str], path: str, n_sh
     first = F.expr(f"(shard_ * total_ + {n_shards - 1}) div {n_shards}")
     cut = ranked.withColumn("shard_", shard).withColumn("slot_", F.col("rank_") - first)
     cut = cut.drop("run_", "place_", "base_", "total_", "rank_").sortWithinPartitions("shard_", "slot_")
-    spark_partitioned = cut.withColumnRenamed("shard_", "shard")
-    from .common import _CLEANUP
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        spark_partitioned.write.partitionBy("shard").parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
+    save(cut.withColumnRenamed("shard_", "shard"), path, by=("shard",))
 
 
 def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All shards: the columns written, slot_, and shard."""
-    kinds = T.StructType([f for f in schema] + [T.StructField("curve_", T.LongType()), T.StructField("slot_", T.LongType()),
+    kinds = T.StructType([f for f in schema if f.name not in OWN] + [T.StructField("curve_", T.LongType()), T.StructField("slot_", T.LongType()),
                                                 T.StructField("shard", T.IntegerType())])
     return spark.read.schema(kinds).parquet(path)
 

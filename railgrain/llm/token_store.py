@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import lists, parts, save, slices, table
+from .common import lists, once_per_process, parts, save, slices, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 ROW_GROUP = 32 << 20
-#: Distinct pieces of text whose ids a worker keeps.
-CACHE = 1_500_000
+#: Distinct pieces of text whose ids a worker process keeps, about 150 MB; it encodes others each time it meets them.
+CACHE = 600_000
 
 #: Pieces of a text whose only white space is blanks and line feeds.  Every piece begins where the tokenizer's own
 #: pattern begins a new piece whatever follows or precedes, so encoding the pieces is encoding the text.
@@ -70,11 +70,10 @@ class Encoder:
         got = list(map(self.known.get, pieces))
         if None in got:
             new = list({p for p, g in zip(pieces, got, strict=True) if g is None})
-            if len(self.known) > CACHE:
-                self.known.clear()
-                new = list(set(pieces))
-            self.known.update(zip(new, self._encode(new), strict=True))
-            got = map(self.known.__getitem__, pieces)
+            found = dict(zip(new, self._encode(new), strict=True))
+            got = [found[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+            if len(self.known) < CACHE:
+                self.known.update(found)
         return b"".join(got)
 
 
@@ -91,7 +90,8 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
     kind = rows.schema["key_"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, before = Encoder(file), np.array([end_id], "<i4").tobytes(), 0
+        encoder = once_per_process(f"encoder {file}", lambda: Encoder(file))
+        end, before = np.array([end_id], "<i4").tobytes(), 0
         for whole in batches:
             for b in slices(whole, 1):
                 out = [encoder.ids(t) + end if t else end for t in b.column(1).to_pylist()]
