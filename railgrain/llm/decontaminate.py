@@ -290,7 +290,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
 def without_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, whose key no leak has; rows with a null key stay."""
     leaks = written(find_leaks(docs, items, key).select(F.col(key).alias("key_")).distinct(), "leaks")
-    return docs.join(leaks, F.col(key) == F.col("key_"), "left_anti")
+    return docs.join(leaks, docs[key] == leaks["key_"], "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -156,9 +156,13 @@ def join_components(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     linked with nothing, and their component is their own key.  Rows with equal keys stay; null keys are never least.  Other
     columns are left out.
     """
+    return _joined(docs, key).select(F.col("doc").alias(key), "n_shingles", "component_id", "n_copies")
+
+
+def _joined(docs: DataFrame, key: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc"), F.col("text"), *_text_ids(F.coalesce("text", F.lit(""))))
     signatures = written(_signatures(rows).withColumn("row", F.monotonically_increasing_id()), "signatures")
-    members = signatures.select("row", "doc", "n", "s1", "s2")
+    members = signatures.select("row", "doc", "x1", "x2", "n", "s1", "s2")
     classes = written(members.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("row").alias("rep"), F.min("doc").alias("least"), F.count("*").alias("n_copies")), "classes")
     lookups = _lookups(signatures, classes)
@@ -170,7 +174,7 @@ def join_components(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     classes = classes.join(least, "label").select("s1", "s2", "n", "n_copies", "component_id")
     out = members.join(classes, ["s1", "s2", "n"], "left")
     return out.select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"),
+        "doc", "x1", "x2", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
         F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
@@ -220,13 +224,16 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, that have the least key of their component; one of several equal ones."""
-    found = join_components(docs, key)
-    keep = written(found.where(F.col(key).isNull() | (F.col(key) == F.col("component_id")))
-                   .select(F.col(key).alias("key_")).distinct(), "kept")
-    one = Window.partitionBy(key, "x1", "x2").orderBy("x1")
-    held = docs.select("*", *_text_ids(F.coalesce("text", F.lit("")))).join(keep, F.col(key).eqNullSafe(F.col("key_")))
-    return held.withColumn("nth_", F.row_number().over(one)).where("nth_ = 1").drop("x1", "x2", "key_", "nth_")
+    """The rows of ``docs``, all columns, that have the least key of their component.
+
+    Of equal rows one stays.  Rows without shingles stay, and so do components without any key.
+    """
+    found = _joined(docs, key).where(F.col("doc").eqNullSafe(F.col("component_id")))
+    keep = written(found.select(F.col("doc").alias("k2"), "x1", "x2").distinct(), "kept")
+    one = Window.partitionBy("x1", "x2", "k").orderBy("x1")
+    held = docs.select(F.struct("*").alias("whole"), F.col(key).alias("k"), *_text_ids(F.coalesce("text", F.lit(""))))
+    held = held.join(keep, ["x1", "x2"]).where(F.col("k").eqNullSafe(F.col("k2")))
+    return held.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("whole.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
