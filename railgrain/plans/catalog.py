@@ -25,7 +25,7 @@ from ..sources.sink import read_tables, write_tables
 from ..sources.stations import read_stations
 from ..sources.timetable import read_timetable
 from . import textfiles as text
-from .fixtures import DATE, Tables, stored, with_views
+from .fixtures import DATE, Tables, coded, stored, with_views
 from .reach_sql import LABELS, reach_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ _HELD = "(stp_indicator = 'C' or k in (select k from {stops}))"
 
 @query("timetable_schedules", "fx_schedule", "fx_stop", sql=f"""
 select train_uid, date_runs_from, date_runs_to, days_run, stp_indicator, train_status, speed,
-  lpad(cast(k as varchar(10)), 8, '0') train_service_code,
+  {coded("k", 8)} train_service_code,
   concat('1A', lpad(cast(k % 100 as varchar(10)), 2, '0')) train_identity,
   case when k % 2 = 0 and stp_indicator <> 'C' then lpad(cast(k % 100000 as varchar(10)), 5, '0') end uic_code,
   case when k % 2 = 0 and stp_indicator <> 'C' then concat('XC', cast(k % 1000000 as varchar(10))) end rsid,
@@ -149,7 +149,7 @@ def _(t: Tables) -> DataFrame:
         "association_category", "association_date_ind", "association_location", "stp_indicator")
 
 
-_PLACE = """tiploc_code, '23' capitals_identification, cast(s_suppkey as varchar(10)) nalco,
+_PLACE = f"""tiploc_code, '23' capitals_identification, {coded("s_suppkey", 6)} nalco,
   station_name tps_description, crs3 crs_code, substr(station_name, 1, 16) _16_character_description"""
 _PLACE_COLUMNS = ["tiploc_code", "capitals_identification", "nalco", "tps_description", "crs_code",
                   "_16_character_description"]
@@ -571,15 +571,19 @@ def _(t: Tables) -> DataFrame:
 # -- reachability and isochrons ----------------------------------------------------------------------
 
 
+#: Rounds the SQL states, which has no loop; at the checked sizes no arrival improves after the sixth.
+_SQL_ROUNDS = 10
+
+
 def _reach(requests: str, by_time: bool = False) -> dict[str, str]:
-    return {**CONNECTIONS, **reach_views(requests, DATE, iso.ROUNDS, by_time)}
+    return {**CONNECTIONS, **reach_views(requests, DATE, _SQL_ROUNDS, by_time)}
 
 
 _DAYTIME = _reach("rq_nation")
 
 
 def _labels(t: Tables, requests: str = "rq_nation", **options) -> DataFrame:
-    return reach.reachable(day_table(t), t.links(), t.stations(), t.get(requests), iso.ROUNDS, **options)
+    return reach.reachable(day_table(t), t.links(), t.stations(), t.get(requests), **options)
 
 
 def _path_text(df: DataFrame) -> DataFrame:

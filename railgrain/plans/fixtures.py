@@ -18,10 +18,23 @@ DATE = dt.date(1998, 5, 9)
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+def coded(n: str, width: int, base: int = 36) -> str:
+    """A number in ``width`` digits, letters after 9, so that it fits a field long after decimals would not."""
+    digits = []
+    for place in reversed(range(width)):
+        digit = f"cast(floor({n} / {base ** place}) as bigint) % {base}"
+        digits.append(f"chr(cast(48 + {digit} + case when {digit} > 35 then 13 when {digit} > 9 then 7 else 0 end as int))")
+    return f"concat({', '.join(digits)})"
+
+
 def code3(n: str) -> str:
-    """Three letters from a number; numbers that differ by 17576 share a code, as real codes are shared."""
-    letter = "chr(65 + cast(floor({} / {}) as int) % 26)"
-    return "concat(" + ", ".join(letter.format(n, d) for d in (676, 26, 1)) + ")"
+    """Three characters from a number.  The format has no more, so numbers that differ by 238,328 share a code."""
+    return coded(n, 3, 62)
+
+
+def train(number: str, kind: int) -> str:
+    """Train numbers of customers, distinct up to 18 milliards of them; ``kind`` 0 is standard, 1 Z-train, 2 associated."""
+    return coded(f"({number} * 3 + {kind})", 6, 62)
 
 
 def _bit(n: int) -> str:
@@ -39,7 +52,7 @@ _LINK = """select '{mode}' mode, {origin} origin, {destination} destination,
 _LINE_ORDER = "partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
 VIEWS = {
-    "fx_station": f"""select concat('S', lpad(cast(s_suppkey as varchar(10)), 6, '0')) tiploc_code,
+    "fx_station": f"""select concat('S', {coded("s_suppkey", 6)}) tiploc_code,
     upper(s_name) station_name,
     cast(case s_suppkey % 5 when 4 then 9 else s_suppkey % 5 end as int) cate_type,
     {code3("floor(s_suppkey / 2)")} crs3, s_nationkey nation,
@@ -53,8 +66,7 @@ VIEWS = {
         _LINK.format(mode=mode, k=k, origin=code3("floor(s_suppkey / 2)"),
                      destination=code3(f"(floor(s_suppkey / 2) + {k})"))
         for mode, k in (("TRANSFER", 1), ("WALK", 2), ("WALK", 5))),
-    "fx_schedule_all": f"""select concat(chr(65 + cast(floor(o_custkey / 100000) as int) % 26),
-      lpad(cast(o_custkey % 100000 as varchar(10)), 5, '0')) train_uid,
+    "fx_schedule_all": f"""select {train("o_custkey", 0)} train_uid, o_custkey,
     cast(o_orderdate as date) date_runs_from, cast(o_orderdate + interval '400' day as date) date_runs_to,
     concat({", ".join(_bit(n) for n in range(7))}) days_run,
     case substr(o_orderpriority, 1, 1) when '1' then 'C' when '2' then 'N' when '3' then 'O' else 'P' end
@@ -84,17 +96,17 @@ VIEWS = {
       lag(cast(t % 86400 as int)) over (partition by k order by loc_order) ptod,
       max(loc_order) over (partition by k) last_order
     from fx_stop_time) a) b where last_order > 0""",
-    "fx_stop": """select s.train_uid, s.date_runs_from, s.stp_indicator, c.loc_order, c.xmidnight,
-    concat('S', lpad(cast(l_suppkey as varchar(10)), 6, '0')) location,
+    "fx_stop": f"""select s.train_uid, s.date_runs_from, s.stp_indicator, c.loc_order, c.xmidnight,
+    concat('S', {coded("l_suppkey", 6)}) location,
     c.scheduled_arrival, c.scheduled_departure, c.scheduled_pass, c.platform, c.last_order, c.k
   from fx_call c join fx_schedule s on s.k = c.k where s.stp_indicator <> 'C'""",
-    "fx_zschedule": """select concat('Z', substr(train_uid, 2, 5)) train_uid, date_runs_from, date_runs_to,
+    "fx_zschedule": f"""select {train("o_custkey", 1)} train_uid, date_runs_from, date_runs_to,
     days_run, stp_indicator, train_status, speed, k from fx_schedule_all""",
     "fx_zstop": f"""select s.train_uid, s.date_runs_from, s.stp_indicator, c.loc_order, c.xmidnight,
     {code3("floor(l_suppkey / 2)")} location,
     c.scheduled_arrival, c.scheduled_departure, c.scheduled_pass, c.platform, c.last_order, c.k
   from fx_call c join fx_zschedule s on s.k = c.k where s.stp_indicator <> 'C'""",
-    "fx_association": """select s.train_uid main_train_uid, concat('B', substr(s.train_uid, 2, 5)) associated_train_uid,
+    "fx_association": f"""select s.train_uid main_train_uid, {train("s.o_custkey", 2)} associated_train_uid,
     s.date_runs_from association_start_date, s.date_runs_to association_end_date, s.days_run association_days,
     case when s.k % 2 = 0 then 'JJ' else 'VV' end association_category,
     case s.k % 4 when 0 then ' ' when 1 then 'S' when 2 then 'N' else 'P' end association_date_ind,

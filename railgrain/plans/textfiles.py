@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .fixtures import Tables
+from .fixtures import Tables, coded
 
 _FILE_ROWS = 20_000
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -60,14 +60,14 @@ def _written(tables: Tables, label: str, build) -> str:
 def _framed(rows: DataFrame, first: Column, last: Column) -> DataFrame:
     """Adds a first and a last line to every file."""
     files = rows.select("file").distinct()
-    frame = lambda rank, line: files.select("file", F.lit(rank).alias("rank"), F.lit(0).alias("seq"),
+    frame = lambda rank, line: files.select("file", F.lit(rank).alias("rank"), F.lit(0).cast("long").alias("seq"),
                                             line.alias("value"))
     return rows.unionByName(frame(0, first)).unionByName(frame(99, last))
 
 
 def _rows(df: DataFrame, number: Column, rank: int, value: Column) -> DataFrame:
     return df.select(F.floor(number / _FILE_ROWS).cast("int").alias("file"), F.lit(rank).alias("rank"),
-                     number.cast("int").alias("seq"), value.alias("value"))
+                     number.cast("long").alias("seq"), value.alias("value"))
 
 
 # -- timetable files ---------------------------------------------------------------------------------
@@ -79,7 +79,7 @@ def _schedule_line(date_text) -> Column:
         80, ("BSN", 3), (_c("train_uid"), 6), (date_text(_c("date_runs_from")), 6),
         (date_text(_c("date_runs_to")), 6), (_c("days_run"), 7), (" ", 1), (_c("train_status"), 1), ("OO", 2),
         (F.concat(F.lit("1A"), F.lpad((k % 100).cast("string"), 2, "0")), 4), ("", 4), ("1", 1),
-        (F.lpad(k.cast("string"), 8, "0"), 8), (" ", 1), ("DMU", 3), ("75", 4),
+        (F.expr(coded("k", 8)), 8), (" ", 1), ("DMU", 3), ("75", 4),
         (F.lpad(_c("speed").cast("string"), 3, "0"), 3), ("", 6), ("B", 1), (" ", 1), ("S", 1), ("", 1),
         ("", 4), ("", 4), ("", 1), (_c("stp_indicator"), 1))
 
@@ -125,14 +125,14 @@ def _trains(schedules: DataFrame, stops: DataFrame, date_text, code_blank: bool,
     return _rows(joined, k, 5, block)
 
 
-_HEADER = ("HDTPS.UDFROC1.PD980508080598", 32), ("DFROC1S", 7), ("DFROC1R", 7), ("FA", 2), \
+_HEADER = ("HDTPS.UDFROC1.PD9805080805980805", 32), ("DFROC1S", 7), ("DFROC1R", 7), ("FA", 2), \
     ("080598080599", 12)
 
 
 def timetable_text(tables: Tables) -> str:
     def build() -> str:
         station, s = tables.get("fx_station"), _c("s_suppkey")
-        place = lambda t: [(t, 2), (_c("tiploc_code"), 7), ("23", 2), (s.cast("string"), 6), ("C", 1),
+        place = lambda t: [(t, 2), (_c("tiploc_code"), 7), ("23", 2), (F.expr(coded("s_suppkey", 6)), 6), ("C", 1),
                            (_c("station_name"), 26), ("00000", 5), ("", 4), (_c("crs3"), 3),
                            (_c("station_name"), 16)]
         pair = _line(80, ("AAN", 3), (_c("main_train_uid"), 6), (_c("associated_train_uid"), 6),
