@@ -18,7 +18,7 @@ def timetable_sequence(scan: TimetableScan) -> DataFrame:
     blocks = scan.blocks()
     inside = blocks.filter(~legal_sequence()).select(
         "file", record_types().alias("codes"), F.lit("order of records").alias("reason"))
-    header, end = F.col("block").startswith("HD"), F.col("block").rlike(r"\nZZ[^\n]*\z")
+    header, end = F.col("block").startswith("HD"), F.col("block").rlike(r"\nZZ[^\n]*\z")  # a headless file has no HD
     files = blocks.groupBy("file").agg(
         F.min("position").alias("first"), F.min(F.when(header, F.col("position"))).alias("first_header"),
         F.max("position").alias("last"), F.min(F.when(end, F.col("position"))).alias("first_end"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import station_sequence, timetable_sequence
 from .archive import MEMBER_SUFFIXES, stage_archives, wanted_suffixes
 from .interchange import read_interchange
 from .links import read_fixed_links
@@ -13,7 +14,11 @@ from .timetable import read_timetable
 
 def load(spark: SparkSession, path: str, skip: frozenset[str] | set[str] = frozenset(),
          old_naming: bool = False, mode: str = "failfast") -> dict[str, DataFrame]:
-    """Lazy tables named ``<suffix>.<table>``.  Skipped members are neither unpacked nor required."""
+    """Lazy tables named ``<suffix>.<table>``.  Skipped members are neither unpacked nor required.
+
+    In ``failfast`` mode the order of records is checked over whole files before anything is returned; fields are
+    checked when a table is read.
+    """
     unknown = set(skip) - set(MEMBER_SUFFIXES)
     if unknown:
         raise ValueError(f"cannot skip {sorted(unknown)}; members are {MEMBER_SUFFIXES}")
@@ -26,10 +31,18 @@ def load(spark: SparkSession, path: str, skip: frozenset[str] | set[str] = froze
 
 def tables_of(spark: SparkSession, paths: dict[str, str], mode: str = "failfast") -> dict[str, DataFrame]:
     """Tables of already unpacked text, given the path of each suffix."""
+
+    def checked(scan, sequence):
+        """The scan's tables; ``sequence`` finds records out of order, at file starts and ends too."""
+        wrong = sequence(scan).first() if mode == "failfast" else None
+        if wrong:
+            raise ValueError(f"unexpected record sequence: {wrong.asDict()}")
+        return scan.tables()
+
     readers = {
-        "mca": lambda p: read_timetable(spark, p, "standard", mode).tables(),
-        "ztr": lambda p: read_timetable(spark, p, "ztrain", mode).tables(),
-        "msn": lambda p: read_stations(spark, p, mode).tables(),
+        "mca": lambda p: checked(read_timetable(spark, p, "standard", mode), timetable_sequence),
+        "ztr": lambda p: checked(read_timetable(spark, p, "ztrain", mode), timetable_sequence),
+        "msn": lambda p: checked(read_stations(spark, p, mode), station_sequence),
         "tsi": lambda p: {"tsi": read_interchange(spark, p, mode)},
         "alf": lambda p: {"alf": read_fixed_links(spark, p, mode)},
     }

@@ -7,20 +7,30 @@ from pyspark.sql import functions as F
 
 from .archive import member_lines, read_archives
 from .layouts import RAIL_REFERENCE_COLUMNS
+from .records import judged
 
 MEMBER = "RailReferences.csv"
 
 
-def read_naptan(spark: SparkSession, path: str) -> DataFrame:
-    return rail_references(read_archives(spark, path))
+def read_naptan(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
+    return rail_references(read_archives(spark, path), mode)
 
 
-def rail_references(archives: DataFrame) -> DataFrame:
-    """The first eight columns; a comma inside quotes belongs to its field."""
+def rail_references(archives: DataFrame, mode: str = "failfast") -> DataFrame:
+    """The first eight columns; a comma inside quotes belongs to its field.
+
+    A line with fewer columns, or a grid reference that is no whole number, is a bad record.  The key is the tiploc
+    code (``quality.duplicate_keys``).
+    """
     lines = member_lines(archives, (MEMBER,), by_suffix=False).filter("line_no > 0")
     schema = ", ".join(f"{name} string" for name in RAIL_REFERENCE_COLUMNS)
     row = F.from_csv("value", schema, {"mode": "PERMISSIVE"})
     numbers = ("easting", "northing")
-    return lines.select(row.alias("r")).select(*[
-        (F.trim(F.col(f"r.{n}")).cast("int") if n in numbers else F.rtrim(F.col(f"r.{n}"))).alias(n)
-        for n in RAIL_REFERENCE_COLUMNS])
+    rows = lines.select(row.alias("r"))
+    whole = {n: F.trim(F.col(f"r.{n}")).try_cast("int") for n in numbers}
+    short = F.col(f"r.{RAIL_REFERENCE_COLUMNS[-1]}").isNull()
+    found = [F.when(short, F.lit("too few fields"))] + [
+        F.when(~short & value.isNull(), F.lit(n)) for n, value in whole.items()]
+    valid = ~short & whole["easting"].isNotNull() & whole["northing"].isNotNull()
+    out = [(whole[n] if n in numbers else F.rtrim(F.col(f"r.{n}"))).alias(n) for n in RAIL_REFERENCE_COLUMNS]
+    return judged(rows, valid, found, out, mode)

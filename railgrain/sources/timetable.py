@@ -65,18 +65,28 @@ class TimetableScan:
         """One row per train, plus one for each file's leading records; lines are separated by newlines."""
         text = self._spark.read.option("lineSep", "\nBS").text(self._path)
         value = F.rtrim(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r\n"))
-        whole = F.when(value.startswith("HD"), value).otherwise(F.concat(F.lit("BS"), value))
+        # The separator took the ``BS`` of every train but one that begins its file, which then has no header.
+        whole = F.when(value.startswith("HD") | value.startswith("BS"), value).otherwise(F.concat(F.lit("BS"), value))
         return text.select(
             F.col("_metadata.file_path").alias("file"),
             F.struct(F.col("_metadata.file_block_start").alias("split"),
                      F.monotonically_increasing_id().alias("row")).alias("position"),
-            once(block=whole))
+            F.col("value").startswith("BS").alias("headless"), once(block=whole))
 
     def _trains(self) -> DataFrame:
         blocks = self.blocks()
         if self._mode == "failfast":
-            stop = F.raise_error(F.concat(F.lit("unexpected record sequence "), record_types()))
-            blocks = blocks.filter(F.when(legal_sequence(), True).otherwise(stop.cast("boolean")))
+            def stop(*what):
+                return F.raise_error(F.concat(*what)).cast("boolean")
+
+            first = _padded(F.substring_index("block", "\n", 1))
+            header = F.lit(True)
+            if self._schedule is L.BASIC_SCHEDULE:  # the header of the other variant is blank
+                header = ~first.startswith("HD") | well_formed(first, {"HD": L.HEADER})
+            blocks = blocks.filter(
+                F.when(F.col("headless"), stop(F.lit("no header")))
+                .when(~legal_sequence(), stop(F.lit("unexpected record sequence "), record_types()))
+                .when(~header, stop(F.lit("bad record: header"))).otherwise(True))
         return blocks.filter(F.col("block").startswith("BS"))
 
     def _standalone(self, record_type: str, layout) -> DataFrame:
@@ -124,27 +134,31 @@ class TimetableScan:
     def _train_lines(self, lines: Column) -> DataFrame:
         """Per train: its key, some of its lines, and the number of its first stop past midnight."""
         fields = {f.name: f for f in self._schedule}
-        key = columns(_padded(F.col("block")), [fields[name] for name in KEY])
-        return self._trains().select(*key, "block", lines.alias("lines"), _stop_clocks().alias("clocks")).select(
-            *KEY, "block", "lines", _first_stop_past_midnight("clocks").alias("midnight"))
+        layout = [fields[name] for name in KEY]
+        head = _padded(F.substring_index("block", "\n", 1))
+        # A train's lines are no better than its key.
+        wrong = F.array_join(F.array_compact(F.array(*problems(head, layout))), ", ")
+        return self._trains().select(*columns(head, layout), wrong.alias("bad_key"), "block", lines.alias("lines"),
+                                     _stop_clocks().alias("clocks")).select(
+            *KEY, "bad_key", "block", "lines", _first_stop_past_midnight("clocks").alias("midnight"))
 
     def _stop_lines(self) -> DataFrame:
         """One row per LO/LI/LT line, numbered from 0 at the origin."""
         stops = F.regexp_extract_all("block", F.lit(r"\n(L[OIT][^\n]*)"), 1)
         return self._train_lines(stops).select(
-            *KEY, "midnight", F.posexplode("lines").alias("loc_order", "line")
-        ).select(*KEY, "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
+            *KEY, "bad_key", "midnight", F.posexplode("lines").alias("loc_order", "line")
+        ).select(*KEY, "bad_key", "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
 
     def _side_lines(self, record_type: str) -> DataFrame:
         """Lines that belong to the stop before them: they take over its number and flag."""
         # the lines before it in the block tell how many stops came first
         after_each_stop = F.split("block", r"\n(?=L[OIT])")
         trains = self._train_lines(after_each_stop).filter(F.col("block").contains(f"\n{record_type}"))
-        calls = trains.select(*KEY, "midnight", F.posexplode("lines").alias("part", "call"))
+        calls = trains.select(*KEY, "bad_key", "midnight", F.posexplode("lines").alias("part", "call"))
         sides = F.regexp_extract_all("call", F.lit(rf"\n({record_type}[^\n]*)"), 1)
         return calls.select(
-            *KEY, "midnight", (F.col("part") - 1).alias("loc_order"), F.explode(sides).alias("line")
-        ).select(*KEY, "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
+            *KEY, "bad_key", "midnight", (F.col("part") - 1).alias("loc_order"), F.explode(sides).alias("line")
+        ).select(*KEY, "bad_key", "loc_order", _past_midnight(), _padded(F.col("line")).alias("line"))
 
     def _located(self, lines: DataFrame, layouts: dict, out: list[Column]) -> DataFrame:
         line, several = F.col("line"), len(layouts) > 1
@@ -154,6 +168,8 @@ class TimetableScan:
         if "LI" in layouts:
             timeless = (_type(line) == "LI") & (F.trim(F.substring(line, 11, 15)) == "")
             valid, found = valid & ~timeless, [*found, F.when(timeless, F.lit("no time"))]
+        good_key = F.col("bad_key") == ""
+        valid, found = valid & good_key, [*found, F.when(~good_key, F.col("bad_key"))]
         header = [F.col(c) for c in (*KEY, "loc_order", "xmidnight")]
         return judged(lines, valid, found, header + out, self._mode)
 

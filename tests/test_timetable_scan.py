@@ -83,7 +83,9 @@ def test_illegal_order(spark, tmp_path, lines, reason):
     ([bs("A00001", start="981301"), lo("S", "0800"), lt("F", "0900")], "basic_schedule", "date_runs_from"),
     ([bs("A00001", speed="7x "), lo("S", "0800"), lt("F", "0900")], "basic_schedule", "speed"),
     ([bs("A00001", "C"), lo("S", "0800"), lt("F", "0900")], "basic_schedule", "cancellation with stops"),
-    ([bs("A00001"), lo("S", "2500"), lt("F", "0900")], "origin_location", "scheduled_departure"),
+    ([bs("A00001"), lo("S", "2500", "0800"), lt("F", "0900")], "origin_location", "scheduled_departure"),
+    ([bs("A00001", start="981301"), lo("S", "0800"), lt("F", "0900")], "origin_location", "date_runs_from"),
+    ([bs("A00001", "X"), lo("S", "0800"), cr("S"), li("M", "0810", "0811"), lt("F", "0900")], "changes_en_route", "stp_indicator"),
     ([bs("A00001"), lo("S", "0800"), lt("F\xe9", "0900")], "terminating_location", "not ascii"),
     ([bs("A00001"), lo("S", "0800"), li("M"), lt("F", "0900")], "intermediate_location", "no time"),
     ([bs("A00001"), lo("S", "0800"), li("M"), lt("F", "0900")], "stops", "no time"),
