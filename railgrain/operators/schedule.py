@@ -41,7 +41,7 @@ def schedules_on(schedules: DataFrame, dates: Iterable[dt.date]) -> DataFrame:
 
 
 def train_timetable(requests: DataFrame, schedules: DataFrame, stops: DataFrame, stations: DataFrame,
-                    ordered: bool = True) -> DataFrame:
+                    ordered: bool = False) -> DataFrame:
     """Stops of one train on one date, for many requests ``(train_uid, timetable_date)`` at a time.
 
     Only one schedule is taken: lowest indicator, then latest start.  Unlike the day's timetable this
@@ -64,7 +64,7 @@ def train_timetable(requests: DataFrame, schedules: DataFrame, stops: DataFrame,
 
 
 def full_timetable(schedules: DataFrame, stops: DataFrame, dates: Iterable[dt.date],
-                   crs_stations: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+                   crs_stations: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """Every stop made on each date.
 
     That is the stops before midnight of the trains of that date and the stops after midnight of the
@@ -100,5 +100,5 @@ def day_timetable(standard: tuple[DataFrame, DataFrame], ztrain: tuple[DataFrame
                   stations: DataFrame, dates: Iterable[dt.date]) -> DataFrame:
     """Both timetables together; each argument is a pair of schedules and stops."""
     days = list(dates)
-    return full_timetable(*standard, days, ordered=False).unionByName(
-        full_timetable(*ztrain, days, crs_stations=stations, ordered=False))
+    return full_timetable(*standard, days).unionByName(
+        full_timetable(*ztrain, days, crs_stations=stations))

@@ -12,26 +12,43 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+
+
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process, so that any folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
+def _base(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if _one_machine(context.master):
+        if base:
+            return base
+        return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="railgrain-"))
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if "://" not in base and not base.startswith("file:") and default.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine takes for a folder of its own; "
+                           "give it with its scheme")
+    return base
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the session's checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="railgrain-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_base(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Cut ``df`` into as many parts as a shuffle has.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of ``df`` evenly to as many parts as a shuffle has.
 
     For small tables that are multiplied by what they are joined to: adaptive execution would write them as
-    one file, and one task would then do all the multiplying.
+    one file, and one task would then do all the multiplying.  Rows are dealt in turn, not by a key, because an
+    exchange on the keys of the aggregate below would be dropped as redundant.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, *keys)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
