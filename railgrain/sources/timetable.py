@@ -9,12 +9,14 @@ worked out inside its own row.  No shuffle, window or sort is involved.  Records
 
 from __future__ import annotations
 
+import copy
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.decoders import decode
+from ..session import scratch_path
 from . import layouts as L
 from .records import columns, judged, once, problems, raw, well_formed
 
@@ -26,6 +28,7 @@ KEY = ("train_uid", "date_runs_from", "stp_indicator")
 HEADER_SEQUENCE = "HD(?:TI)*+(?:TA)*+(?:TD)*+(?:AA)*+(?:ZZ)?"
 SCHEDULE_SEQUENCE = "BS(?:ZZ)?|BS(?:BX)?(?:TN)?LO(?:LI|CR(?=LI|LT))*+LT(?:ZZ)?"
 
+_TYPES = ("HD", "TI", "TA", "TD", "AA", "BS", "LO", "LI", "LT", "CR", "LN")
 STOP_LAYOUTS = {"LO": L.ORIGIN_LOCATION, "LI": L.INTERMEDIATE_LOCATION, "LT": L.TERMINATING_LOCATION}
 
 
@@ -54,7 +57,7 @@ class TimetableScan:
     def __init__(self, spark: SparkSession, path: str, variant: str = "standard", mode: str = "failfast"):
         if variant not in VARIANTS:
             raise ValueError(f"variant must be one of {VARIANTS}")
-        self._spark, self._path, self._mode = spark, path, mode
+        self._spark, self._path, self._mode, self._stage = spark, path, mode, None
         ztrain = variant == "ztrain"
         self._schedule = L.ZTRAIN_BASIC_SCHEDULE if ztrain else L.BASIC_SCHEDULE
         self._extra = L.ZTRAIN_EXTRA_DETAILS if ztrain else L.EXTRA_DETAILS
@@ -73,7 +76,7 @@ class TimetableScan:
                      F.monotonically_increasing_id().alias("row")).alias("position"),
             F.col("value").startswith("BS").alias("headless"), once(block=whole))
 
-    def _trains(self) -> DataFrame:
+    def _checked(self) -> DataFrame:
         blocks = self.blocks()
         if self._mode == "failfast":
             def stop(*what):
@@ -87,12 +90,62 @@ class TimetableScan:
                 F.when(F.col("headless"), stop(F.lit("no header")))
                 .when(~legal_sequence(), stop(F.lit("unexpected record sequence "), record_types()))
                 .when(~header, stop(F.lit("bad record: header"))).otherwise(True))
-        return blocks.filter(F.col("block").startswith("BS"))
+        return blocks
+
+    def _trains(self) -> DataFrame:
+        return self._checked().filter(F.col("block").startswith("BS"))
+
+    # -- one pass for all tables ---------------------------------------------------------------------
+
+    def staged(self) -> TimetableScan:
+        """The same tables from one pass over the text.
+
+        All lines are written once, with what a line needs of the lines around it, in a folder for each record type; each
+        table then reads its own folder.  Use it for more than one table.
+        """
+        out = copy.copy(self)
+        path = scratch_path(self._spark, "records")
+        lines = self._all_lines()
+        lines.write.partitionBy("type").parquet(path)
+        out._stage = self._spark.read.schema(lines.schema).parquet(path)
+        return out
+
+    def _all_lines(self) -> DataFrame:
+        """One row per line; a schedule and its BX and TN lines are one row of type BS."""
+        block, train = F.col("block"), F.col("block").startswith("BS")
+        fields = {f.name: f for f in self._schedule}
+        layout = [fields[name] for name in KEY]
+        head = _padded(F.substring_index(block, "\n", 1))
+        wrong = F.array_join(F.array_compact(F.array(*problems(head, layout))), ", ")
+        key = [F.when(train, decode(f.kind, raw(head, f))).alias(f.name) for f in layout]
+        parts = F.when(train, F.split(block, r"\n(?=L[OIT])")).otherwise(F.split(block, "\n"))
+        blocks = self._checked().select(
+            "block", *key, F.when(train, wrong).alias("bad_key"), train.alias("train"), parts.alias("parts"),
+            _first_stop_past_midnight_in(_stop_clocks()))
+        calls = blocks.select(*KEY, "bad_key", "train", "midnight", (F.size("parts") > 1).alias("has_stops"),
+                              F.posexplode("parts").alias("part", "call"))
+        typed = lambda line: F.struct(_type(line).alias("type"), line.alias("line"))
+        lines = F.split("call", "\n")
+        first = F.array(F.struct(F.lit("BS").alias("type"), F.col("call").alias("line")))
+        others = F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: ~_type(x).isin("BX", "TN"))
+        rows = F.when(~F.col("train"), F.array(typed(F.col("call")))).when(
+            F.col("part") == 0, F.concat(first, F.transform(others, typed))).otherwise(F.transform(lines, typed))
+        out = calls.select(*KEY, "bad_key", "midnight", "has_stops", "part", F.inline(rows)).withColumn(
+            "loc_order", F.col("part") - 1)
+        text = F.when(F.col("type") == "BS", F.col("line")).otherwise(_padded(F.col("line")))
+        return out.filter(F.col("type").isin(*_TYPES)).select(
+            *KEY, "bad_key", "has_stops", "loc_order", _past_midnight(), text.alias("line"), "type")
+
+    def _staged_lines(self, *types: str) -> DataFrame:
+        return self._stage.filter(F.col("type").isin(*types))
 
     def _standalone(self, record_type: str, layout) -> DataFrame:
         """Records that need no context, read line by line."""
-        lines = self._spark.read.text(self._path).filter(F.col("value").startswith(record_type)).select(
-            _padded(F.col("value")).alias("line"))
+        if self._stage is not None:
+            lines = self._staged_lines(record_type).select("line")
+        else:
+            lines = self._spark.read.text(self._path).filter(F.col("value").startswith(record_type)).select(
+                _padded(F.col("value")).alias("line"))
         line = F.col("line")
         return judged(lines, well_formed(line, {record_type: layout}), problems(line, layout),
                       columns(line, layout), self._mode)
@@ -117,9 +170,12 @@ class TimetableScan:
     def basic_schedule(self) -> DataFrame:
         """BS joined with its optional BX and TN.  A schedule with no stops is kept only if it cancels."""
         block = F.col("block")
-        parts = self._trains().select(once(
-            bs=_padded(F.substring_index(block, "\n", 1)), bx=_line_of("BX"), tn=_line_of("TN"),
-            has_stops=block.contains("\nLO")))
+        if self._stage is not None:
+            trains = self._staged_lines("BS").select(F.col("line").alias("block"), "has_stops")
+        else:
+            trains = self._trains().withColumn("has_stops", block.contains("\nLO"))
+        parts = trains.select(once(bs=_padded(F.substring_index(block, "\n", 1)), bx=_line_of("BX"), tn=_line_of("TN"),
+                                   has_stops=F.col("has_stops")))
         cancels = F.substring("bs", L.TIMETABLE_WIDTH, 1) == "C"
         layouts = {"bs": self._schedule, "bx": self._extra, "tn": L.NOTE}
         valid = ~(cancels & F.col("has_stops"))
@@ -144,6 +200,8 @@ class TimetableScan:
 
     def _stop_lines(self) -> DataFrame:
         """One row per LO/LI/LT line, numbered from 0 at the origin."""
+        if self._stage is not None:
+            return self._staged_lines(*STOP_LAYOUTS)
         stops = F.regexp_extract_all("block", F.lit(r"\n(L[OIT][^\n]*)"), 1)
         return self._train_lines(stops).select(
             *KEY, "bad_key", "midnight", F.posexplode("lines").alias("loc_order", "line")
@@ -151,6 +209,8 @@ class TimetableScan:
 
     def _side_lines(self, record_type: str) -> DataFrame:
         """Lines that belong to the stop before them: they take over its number and flag."""
+        if self._stage is not None:
+            return self._staged_lines(record_type)
         # the lines before it in the block tell how many stops came first
         after_each_stop = F.split("block", r"\n(?=L[OIT])")
         trains = self._train_lines(after_each_stop).filter(F.col("block").contains(f"\n{record_type}"))
@@ -214,10 +274,12 @@ class TimetableScan:
         return self._located(self._stop_lines(), STOP_LAYOUTS, location + rest)
 
     def tables(self) -> dict[str, DataFrame]:
+        """All tables, from one pass over the text."""
+        scan = self if self._stage is not None else self.staged()
         names = ("basic_schedule", "origin_location", "intermediate_location", "changes_en_route",
                  "terminating_location", "location_specific_note", "associations",
                  "tiploc_insert", "tiploc_amend", "tiploc_delete")
-        return {name: getattr(self, name)() for name in names}
+        return {name: getattr(scan, name)() for name in names}
 
 
 def read_timetable(spark: SparkSession, path: str, variant: str = "standard",
@@ -244,7 +306,12 @@ def _stop_clocks() -> Column:
     return F.regexp_extract_all("block", F.lit(r"\n(?:LI.{0,8}(?: {5}){0,2}+|L[OT].{0,8})(.{0,5})"), 1)
 
 
-def _first_stop_past_midnight(clocks: str) -> Column:
+def _first_stop_past_midnight_in(clocks: Column) -> Column:
+    """The same of clocks that are not a column yet; they are bound once."""
+    return F.transform(F.array(clocks), _first_stop_past_midnight)[0].alias("midnight")
+
+
+def _first_stop_past_midnight(clocks: str | Column) -> Column:
     """Number of the first stop that is earlier in the day than the stop before it; 0 when there is none."""
     earlier = F.zip_with(F.slice(clocks, F.lit(2), F.size(clocks)), clocks,
                          lambda this, before: F.rpad(this, 5, " ") < F.rpad(before, 5, " "))
