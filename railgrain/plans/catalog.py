@@ -260,23 +260,42 @@ def _(t: Tables) -> DataFrame:
     return tables_of(t.spark, {"tsi": staged["tsi"]})["tsi.tsi"]
 
 
-@query("typed_sink", "fx_schedule", "fx_stop", sql="""
-select 'basic_schedule' name, count(*) n_rows, min(date_runs_from) first_day, count(distinct train_uid) trains
-from fx_schedule where stp_indicator = 'C' or k in (select k from fx_stop)
-union all select 'origin_location', count(*), min(date_runs_from), count(distinct train_uid)
-from fx_stop where loc_order = 0
-union all select 'terminating_location', count(*), min(date_runs_from), count(distinct train_uid)
-from fx_stop where loc_order = last_order""")
+#: Tables of a timetable file with a key and a date column of each; the tenth, notes at stops, is empty in legal files.
+_SINK = {
+    "basic_schedule": ("train_uid", "date_runs_from"), "origin_location": ("train_uid", "date_runs_from"),
+    "intermediate_location": ("train_uid", "date_runs_from"), "terminating_location": ("train_uid", "date_runs_from"),
+    "changes_en_route": ("train_uid", "date_runs_from"), "location_specific_note": ("train_uid", "date_runs_from"),
+    "associations": ("main_train_uid", "association_start_date"), "tiploc_insert": ("tiploc_code", None),
+    "tiploc_amend": ("tiploc_code", None), "tiploc_delete": ("tiploc_code", None),
+}
+
+
+def _sink_sql(name: str, view: str, where: str = "true") -> str:
+    key, day = _SINK[name]
+    return (f"select '{name}' name, count(*) n_rows, min({day or 'cast(null as date)'}) first_day, "
+            f"count(distinct {key}) n_keys from {view} where {where}")
+
+
+@query("typed_sink", "fx_schedule", "fx_stop", "fx_station", "fx_association", sql=" union all ".join([
+    _sink_sql("basic_schedule", "fx_schedule", "stp_indicator = 'C' or k in (select k from fx_stop)"),
+    _sink_sql("origin_location", "fx_stop", "loc_order = 0"),
+    _sink_sql("intermediate_location", "fx_stop", "loc_order > 0 and loc_order < last_order"),
+    _sink_sql("terminating_location", "fx_stop", "loc_order = last_order"),
+    _sink_sql("changes_en_route", "fx_stop", "loc_order < last_order and (k + loc_order) % 11 = 0"),
+    _sink_sql("associations", "fx_association"),
+    *(_sink_sql(f"tiploc_{n}", "fx_station") for n in ("insert", "amend", "delete")),
+]))
 def _(t: Tables) -> DataFrame:
-    scan = read_timetable(t.spark, text.timetable_text(t))
-    names = ["basic_schedule", "origin_location", "terminating_location"]
     base = scratch_path(t.spark, "sink")
-    write_tables({n: getattr(scan, n)() for n in names}, base)
-    parts = [df.select(F.lit(n).alias("name"), "train_uid", "date_runs_from")
-             for n, df in read_tables(t.spark, base, names).items()]
-    return parts[0].union(parts[1]).union(parts[2]).groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("date_runs_from").alias("first_day"),
-        F.countDistinct("train_uid").alias("trains"))
+    write_tables(read_timetable(t.spark, text.timetable_text(t)).tables(), base)
+    parts = None
+    for name, df in read_tables(t.spark, base, list(_SINK)).items():
+        key, day = _SINK[name]
+        part = df.select(F.lit(name).alias("name"), F.col(key).alias("key"),
+                         (F.col(day) if day else F.lit(None).cast("date")).alias("day"))
+        parts = part if parts is None else parts.union(part)
+    return parts.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("day").alias("first_day"), F.countDistinct("key").alias("n_keys"))
 
 
 # -- decoders ----------------------------------------------------------------------------------------
