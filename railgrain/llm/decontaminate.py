@@ -29,7 +29,7 @@ from .common import _BYTE, lower_latin, mix, slices, table, text_bytes, written
 RATE = 0.08
 #: Items with fewer characters are not looked for: they would be everywhere.
 LEAST = 24
-REPEATS, SAMPLES, STEPS = 6, 10, 64
+REPEATS, SAMPLES, STEPS = 6, 14, 64
 #: Sizes of a class are within this factor.
 SPREAD = 1.5
 _GRAM_BITS, _KEY_BITS = 23, 24
@@ -41,37 +41,22 @@ _MOVES = _RANDOM.integers(0, 2, (REPEATS, STEPS, 256)).astype(np.int64)
 _PICKS = np.sort(np.stack([_RANDOM.permutation(STEPS)[:SAMPLES] for _ in range(REPEATS)]), 1)
 
 
-def _plain(data: np.ndarray) -> np.ndarray:
+def normalise_all(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Many texts as lower-case letters and digits with single blanks, and where each byte came from."""
     data = lower_latin(data)
-    return np.where(_KEEP[data], data, np.uint8(32))
-
-
-def _single(data: np.ndarray) -> np.ndarray:
-    """Places of all bytes but blanks that follow a blank."""
-    at = data != 32
-    at[1:] |= data[:-1] != 32
-    if len(data):
-        at[0] = True
-    return np.flatnonzero(at)
-
-
-def normalise(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case letters and digits with single blanks between, and where each byte came from."""
-    data = _plain(data)
-    at = _single(data)
-    at = at[1:] if len(at) and data[at[0]] == 32 else at
-    at = at[:-1] if len(at) and data[at[-1]] == 32 else at
+    data = np.where(_KEEP[data], data, np.uint8(32))
+    keep = data != 32
+    keep[1:] |= data[:-1] != 32
+    keep[ends[:-1][ends[:-1] < len(data)]] = True
+    at = np.flatnonzero(keep)
     return data[at], at
 
 
-def normalise_all(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for many texts at once, each followed by ``_PAD`` zeros; zeros come from nowhere (-1)."""
-    n = len(data)
-    to = np.arange(n) + _PAD * np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    out, source = np.zeros(n + _PAD * (len(ends) - 1), np.uint8), np.full(n + _PAD * (len(ends) - 1), -1, np.int64)
-    out[to], source[to] = _plain(data), np.arange(n)
-    at = _single(out)
-    return out[at], source[at]
+def normalise(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of one text, without blanks at its ends."""
+    data, at = normalise_all(data, np.array([0, len(data)]))
+    first, last = int(len(data) > 0 and data[0] == 32), len(data) - int(len(data) > 1 and data[-1] == 32)
+    return data[first:last], at[first:last]
 
 
 def edits(length: int) -> int:
@@ -83,20 +68,23 @@ def gram_size(length: int) -> int:
     return next((q for q in (10, 8, 6, 4) if length - q + 1 - q * edits(length) >= 4), 2)
 
 
+_BYTE32 = (_BYTE >> np.uint64(32)).astype(np.uint32)
+
+
 def _grams(data: np.ndarray, q: int) -> np.ndarray:
-    """Hashes of all q-grams, q even, by doubling."""
-    out, by, have, done = _BYTE[data], 0xD6E8FEB86659FD93, 1, None
-    reach = 0
+    """Hashes of all q-grams, q even, by doubling; they only have to be small and mostly different."""
+    out, by, have, done, reach = _BYTE32[data], 0x5BD1E995, 1, None, 0
     while True:
         if q & have:
-            done = out if done is None else done[: max(0, len(out) - reach)] * np.uint64(31) + out[reach:] * np.uint64(by) if reach else out
+            done = out if done is None else done[: max(0, len(out) - reach)] * np.uint32(31) + out[reach:] * np.uint32(by) if reach else out
             reach += have
         if reach == q:
-            n = max(0, len(data) - q + 1)
-            return (mix(done[:n]) >> np.uint64(64 - _GRAM_BITS)).astype(np.int64)
+            done = done[: max(0, len(data) - q + 1)]
+            done = (done ^ (done >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+            return (done ^ (done >> np.uint32(12))) >> np.uint32(32 - _GRAM_BITS)
         n = max(0, len(out) - have)
-        out = out[:n] * np.uint64(by) + out[have:have + n]
-        have, by = have * 2, (by * by + 2) % (1 << 64)
+        out = out[:n] * np.uint32(by) + out[have:have + n]
+        have, by = have * 2, (by * by + 2) % (1 << 32)
 
 
 def walk_keys(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -201,7 +189,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                 data = np.frombuffer(t, np.uint8)
                 for q in used:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(max(0, len(data) - q + 1), q, np.int32)),
-                                                      pa.array(_grams(data, q))], ["q", "bit"])
+                                                      pa.array(_grams(data, q).astype(np.int64))], ["q", "bit"])
 
     # Bitmaps of 2 ** 23 and 2 ** 24 bits, whatever the size of the benchmark.
     gram_bits = {q: np.zeros(1 << _GRAM_BITS, bool) for q in used}
@@ -233,11 +221,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                         begun = np.append(begun, np.full(len(norm) - len(begun), begun[-1]))
                         inside[:reach] |= begun[:reach] > 0
                         inside[reach:] |= begun[reach:] > begun[:-reach]
-                inside &= norm != 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))).reshape(-1, 2)
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
+                # A stretch ends where its text ends.
+                begins = np.searchsorted(at, ends[1:-1])
+                begins = np.unique(begins[(begins > 0) & (begins < len(norm))])
+                begins = begins[inside[begins] & inside[begins - 1]]
+                edge = np.sort(np.concatenate([edge, begins, begins])).reshape(-1, 2)
                 starts = word_starts(norm)
                 starts = starts[inside[starts]]
-                keys = walk_keys(norm, starts)
+                keys = walk_keys(np.concatenate([norm, np.zeros(_PAD, np.uint8)]), starts)
                 hit = by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)]
                 # The stretches that some hit lies in, and their distinct keys.
                 which, column = np.nonzero(hit)
@@ -270,6 +262,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
             for i, (piece, place, norm) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
                 own = np.frombuffer(piece, np.uint8)
                 data, at = normalise(own)
+                q, want = gram_size(len(norm)), np.frombuffer(norm, np.uint8)
+                # The lemma once more, for this item alone: most pairs that met by chance end here.
+                if np.isin(_grams(want, q), _grams(data, q)).sum() < len(norm) - q + 1 - q * edits(len(norm)):
+                    continue
                 distance, first, last = nearest_piece(norm, data.tobytes())
                 if distance <= edits(len(norm)) and last > first:
                     letters = np.cumsum(own & 0xC0 != 0x80)
