@@ -2,8 +2,8 @@
 
 Two sets with 0.8 or more in common share shingles among the first of each, whatever order all shingles are in.
 
-Order 1 is by hash.  A set's first n - ceil(0.8 n) + t shingles are read, of which two linked sets share t.  It costs no
-statistics, and shingles that no other set has among its first are dropped without a pair being made.
+Order 1 is by hash.  A set's first n - ceil(0.8 n) + t shingles are read, of which two linked sets share t; t is larger for
+short texts.  It costs no statistics, and shingles that no other set has among its first are dropped without a pair being made.
 Order 2 is by frequency among those, rarest first: of them, only so many are looked up that one of the t is among them, so a
 passage that many documents hold is looked up by documents that consist of little else.
 Order 3 and 4 are two more hash orders, in which each candidate pair must share a first shingle too before its sets are compared.
@@ -26,6 +26,8 @@ from .common import lists, lower_ascii, mix, slices, span_hashes, table, text_by
 from .components import components
 
 WORDS = 5
+#: Sets with no more shingles than this are read whole under order 1.
+SHORT = 160
 #: A link: 100 * intersection >= SHARE * union.
 SHARE = 80
 #: Rounds against one set of each group, at most, before all remaining pairs are made.
@@ -65,8 +67,19 @@ def _overlap(n):
 
 
 def _first(n: int) -> int:
-    """How many shingles are read under order 1; two linked sets share 1 + overlap(n) // 10 of them, n the smaller size."""
-    return min(n, n - _overlap(n) + 1 + n // 10)
+    """How many shingles are read under order 1: three in ten, and of short texts all, as they may be little but a passage."""
+    return min(n, max(n - _overlap(n) + 1 + n // 10, SHORT))
+
+
+def _need(n: int) -> int:
+    """How many of its first shingles a set of n surely shares with the first ones of any set it is linked to.
+
+    Two linked sets share at least the lesser of first(m) - (m - overlap(m)) of both sizes.  That falls and rises again in m,
+    so the sizes a partner can have are tried at their ends and at the bends; 2 less covers rounding.
+    """
+    low, high = _overlap(n), 100 * n // SHARE
+    bends = [m for k in (SHORT, SHORT * 10 // 3) for m in (k - 4, k, k + 4) if low < m < high]
+    return max(1, min(_first(m) - (m - _overlap(m)) for m in (low, n, high, *bends)) - 2)
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -77,17 +90,18 @@ def _signatures(docs: DataFrame) -> DataFrame:
             for b in slices(whole, 0):
                 sets = shingle_sets(*text_bytes(b.column(0)))
                 n = np.array([len(s) for s in sets], np.int64)
+                need = np.array([_need(len(s)) for s in sets], np.int64)
                 keys = np.array([[mix(s ^ k).sum() for k in _ORDERS] for s in sets], np.uint64).reshape(-1, 2)
                 first = [s[:_first(len(s))] for s in sets]
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in first])])
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[1:], pa.array(n), pa.array(keys[:, 0].view(np.int64) if len(keys) else [], pa.int64()),
+                    [*b.columns[1:], pa.array(n), pa.array(need), pa.array(keys[:, 0].view(np.int64) if len(keys) else [], pa.int64()),
                      pa.array(np.ascontiguousarray(keys[:, 1]).view(np.int64)),
-                     lists(np.concatenate(first).view(np.int64), starts)], ["doc", "x1", "x2", "n", "s1", "s2", "first"])
+                     lists(np.concatenate(first).view(np.int64), starts)], ["doc", "x1", "x2", "n", "need", "s1", "s2", "first"])
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("text", "doc", "x1", "x2").mapInArrow(
-        read, f"doc {kind}, x1 long, x2 long, n long, s1 long, s2 long, first array<long>")
+        read, f"doc {kind}, x1 long, x2 long, n long, need long, s1 long, s2 long, first array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -116,29 +130,28 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are linked."""
+    """Those of the pairs (a, b, to) whose sets are linked."""
     held = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     held = held.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             on = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                  for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+                  for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
             keep = pa.array(np.flatnonzero(on), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column(c).take(keep) for c in range(3)], ["a", "b", "to"])
 
-    return held.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    return held.select("a", "b", "to", "sa", "sb").mapInArrow(check, "a long, b long, to long")
 
 
 def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
     """(shingle, rep, n): the shingles each class is looked up by, under orders 1 and 2, where two classes share one."""
-    each = signatures.where("n > 0").select("row", "n", F.explode("first").alias("shingle"))
+    each = signatures.where("n > 0").select("row", "n", "need", F.explode("first").alias("shingle"))
     seen = written(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
-    common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row", "n").agg(
+    common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row", "n", "need").agg(
         F.collect_list(F.struct("df", "shingle")).alias("common"))  # no more than the set's own first shingles
-    shared = F.floor(F.ceil(F.col("n") * SHARE / 100) / 10).cast("int")  # and one more
-    ranked = common.where(F.size("common") > shared)
-    ranked = ranked.withColumn("common", F.slice(F.sort_array("common"), 1, F.size("common") - shared))
+    ranked = common.where("size(common) >= need")
+    ranked = ranked.withColumn("common", F.slice(F.sort_array("common"), 1, (F.size("common") - F.col("need") + 1).cast("int")))
     ranked = ranked.join(reps.select(F.col("rep").alias("row")), "row")
     out = written(ranked.select(F.col("row").alias("rep"), "n", F.explode("common.shingle").alias("shingle")), "ranked")
     several = out.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1").select("shingle")
@@ -188,7 +201,7 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
     sets = written(_sets(texts).dropDuplicates(["rep"]), "sets")
 
     spark = docs.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
+    edges = spark.createDataFrame([], "u long, v long")
     labelled = lookups.withColumn("label", F.col("rep"))
     done = None  # pairs compared so far
     for turn in range(ROUNDS + 1):
@@ -208,19 +221,20 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         else:
             pairs = mine.join(labelled, "shingle").where("a < rep and label <> la")
         pairs = pairs.where(F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na)"))
-        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+        pairs = pairs.groupBy(F.col("rep").alias("a"), F.col("a").alias("b")).agg(F.min("la").alias("to"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(_links(pairs, sets), "links")
-        edges = edges.unionByName(found)
-        done = pairs if done is None else done.unionByName(pairs)
+        edges = edges.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if last:
             break
-        labels = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        labelled = labelled.drop("label").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        labelled = labelled.withColumn("label", F.coalesce("label", "rep"))
-    return components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        done = both if done is None else done.unionByName(both)
+        # Whole components, or members of one would meet again under several labels.
+        labels = components(edges).withColumnRenamed("node", "rep")
+        labelled = labelled.drop("label").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    return components(edges)
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -155,7 +155,7 @@ def test_shingle_sets():
 def test_first_shingles_of_linked_sets_meet():
     rng = np.random.default_rng(5)
     for _ in range(300):
-        n = int(rng.integers(1, 120))
+        n = int(rng.integers(1, 900))
         both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         cut = int(rng.integers(0, n // 5 + 1))
         a = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, int(rng.integers(0, cut + 1)), dtype=np.uint64)]))
@@ -165,8 +165,13 @@ def test_first_shingles_of_linked_sets_meet():
         assert jaccard.linked(a, b) == on
         if on:
             first = [x[: jaccard._first(len(x))] for x in (a, b)]
-            least = min(1 + jaccard._overlap(len(x)) // 10 for x in (a, b))
-            assert len(np.intersect1d(*first)) >= least
+            assert len(np.intersect1d(*first)) >= max(jaccard._need(len(x)) for x in (a, b))
+
+
+def test_need_is_a_lower_bound_for_every_partner():
+    for n in [*range(1, 900, 7), 5000]:
+        sizes = range(jaccard._overlap(n), 100 * n // 80 + 1)
+        assert jaccard._need(n) <= max(1, min(jaccard._first(m) - (m - jaccard._overlap(m)) for m in sizes))
 
 
 def test_index_finds_the_nearest_exactly():
