@@ -63,9 +63,17 @@ def edits(length: int) -> int:
     return int(RATE * length)
 
 
-def gram_size(length: int) -> int:
-    """The longest q-grams of which a near piece surely shares enough."""
-    return next((q for q in (10, 8, 6, 4) if length - q + 1 - q * edits(length) >= 4), 2)
+def grams_shared(q: int, low: int, high: int) -> int:
+    """How many q-grams a near piece shares at least with an item of any size from low to high.
+
+    The bound falls by q wherever one more edit is allowed, so it is not least at the shortest item.
+    """
+    return min(n - q + 1 - q * edits(n) for n in range(low, high + 1))
+
+
+def gram_size(low: int, high: int = 0) -> int:
+    """The longest q-grams of which a piece near an item of these sizes surely shares enough."""
+    return next((q for q in (10, 8, 6, 4) if grams_shared(q, low, max(low, high)) >= 4), 2)
 
 
 _BYTE32 = (_BYTE >> np.uint64(32)).astype(np.uint32)
@@ -181,7 +189,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                     .withColumn("no", F.monotonically_increasing_id()), "items")
     sizes = [r[0] for r in known.select(F.length("norm")).distinct().collect()]  # item lengths, not items
     classes = _classes(sizes)
-    used = {gram_size(low): (low, high) for low, high in classes}
+    used = {gram_size(low, high) for low, high in classes}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,11 +219,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                 near = {q: np.concatenate([[0], np.cumsum(bits[_grams(norm, q)], dtype=np.int32)])
                         for q, bits in by_gram.items() if len(norm) >= q}
                 for low, high in classes:
-                    q = gram_size(low)
+                    q = gram_size(low, high)
                     if q not in near:
                         continue
                     width = min(high + edits(high) - q + 1, len(near[q]) - 1)
-                    full = near[q][width:] - near[q][:-width] >= max(1, low - q + 1 - q * edits(low))
+                    full = near[q][width:] - near[q][:-width] >= grams_shared(q, low, high)
                     if full.any():  # a place is inside if such a window begins less than its length before it
                         begun, reach = np.cumsum(full, dtype=np.int32), width + q - 1
                         begun = np.append(begun, np.full(len(norm) - len(begun), begun[-1]))

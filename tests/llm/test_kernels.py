@@ -108,6 +108,21 @@ def test_gram_size_keeps_enough_grams():
         assert length - q + 1 - q * decontaminate.edits(length) >= 1
 
 
+def test_the_gram_bound_of_a_class_holds_at_each_of_its_sizes():
+    rng = random.Random(5)
+    for low in range(decontaminate.LEAST, 200):
+        high = int(decontaminate.SPREAD * low)
+        q = decontaminate.gram_size(low, high)
+        bound = decontaminate.grams_shared(q, low, high)
+        assert bound >= 1
+        for n in range(low, high + 1, 1 if low < 80 else 7):
+            a = np.array([rng.randrange(97, 123) for _ in range(n)], np.uint8)
+            b, e = a.copy(), decontaminate.edits(n)
+            b[[int((i + 0.5) * n / e) for i in range(e)]] = 48  # as far from each other as can be
+            whole = [{bytes(x[i:i + q]) for i in range(n - q + 1)} for x in (a, b)]
+            assert len(whole[0] & whole[1]) >= min(bound, len(whole[0]) - q * e) and n - q + 1 - q * e >= bound
+
+
 def test_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(500):

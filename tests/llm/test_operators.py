@@ -276,6 +276,22 @@ def test_leaks_are_found_with_edits_and_nothing_else(spark, documents, prose):
     assert decontaminate.find_leaks(docs.where("false"), bench).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [range(75, 112), range(112, 168)])
+def test_leaks_with_edits_far_apart_are_found_at_every_size(spark, documents, sizes):
+    rng = random.Random(13)
+    letters = lambda n: "".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(n))
+    prose = lambda n: " ".join(letters(rng.randint(2, 7)) for _ in range(n))[:n].rstrip()
+    items = [(n, (prose(4 * n)[:n - 1] + "e").replace("  ", " a")) for n in sizes]
+    rows = []
+    for n, item in items:
+        x, e = list(item), decontaminate.edits(n)
+        for i in range(e):
+            x[int((i + 0.5) * n / e)] = "0"
+        rows.append((n, f"{prose(90)} {''.join(x)} {prose(90)}"))
+    got = decontaminate.find_leaks(documents(*rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} >= {(n, n) for n in sizes}
+
+
 # -- 9: mixing ---------------------------------------------------------------------------------------
 
 
