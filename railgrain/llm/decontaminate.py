@@ -7,7 +7,7 @@ document is within ``RATE`` of the item's length in edits.
    so only stretches of a document with that many q-grams of any item can hold one; nothing is lost here.
 2. In those stretches a window begins at every word.  A CGK walk reads it: each step writes a character and moves on or
    stays by a random bit of step and character, so texts at a small edit distance soon write the same again.  Some
-   steps, chosen at random, are the window's key; walks and steps are drawn ``REPEATS`` times.  Windows of the items begin at
+   steps, chosen at random, are the window's key; walks and steps are drawn ``repeats(size)`` times.  Windows of the items begin at
    every word too, so that one window without an edit in reach of its sampled steps is enough.
 3. Stretches and items that share a key are compared by their exact edit distance.
 
@@ -29,7 +29,13 @@ from .common import _BYTE, lower_latin, mix, slices, table, text_bytes, written
 RATE = 0.08
 #: Items with fewer characters are not looked for: they would be everywhere.
 LEAST = 24
-REPEATS, SAMPLES, STEPS = 6, 14, 64
+SAMPLES, STEPS = 10, 64
+#: Part of the items that share a key with a piece at the full edit rate, and how often walks are drawn for it from a size on.
+#: Simulated leaks (300 a size, edits at random places or as far apart as can be) needed 30 repeats at 40 characters, 14 at
+#: 50, 7 at 63, 5 at 75 and 88, and 3 at 100 and above to reach the target; the table has about twice that from 50 on.
+TARGET = 0.99
+REPEATS_FROM = {0: 48, 50: 24, 63: 14, 75: 10, 100: 6}
+REPEATS = max(REPEATS_FROM.values())
 #: Sizes of a class are within this factor.
 SPREAD = 1.5
 _GRAM_BITS, _KEY_BITS = 23, 24
@@ -95,17 +101,22 @@ def _grams(data: np.ndarray, q: int) -> np.ndarray:
         have, by = have * 2, (by * by + 2) % (1 << 32)
 
 
-def walk_keys(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def repeats(length: int) -> int:
+    """How often walks are drawn for items of this size so that ``TARGET`` of their leaks share a key."""
+    return next(n for size, n in sorted(REPEATS_FROM.items(), reverse=True) if length >= size)
+
+
+def walk_keys(data: np.ndarray, starts: np.ndarray, first: int = 0, last: int = REPEATS) -> np.ndarray:
     """A key for each start and repetition; ``data`` has at least ``_PAD`` bytes after the last start's text."""
-    out = np.empty((len(starts), REPEATS), np.uint64)
-    for r in range(REPEATS):
+    out = np.empty((len(starts), last - first), np.uint64)
+    for r in range(first, last):
         at, key, picks = starts.copy(), np.full(len(starts), r + 1, np.uint64), set(_PICKS[r].tolist())
         for j in range(max(picks) + 1):
             c = data[at]
             if j in picks:
                 key = key * np.uint64(0x9E3779B97F4A7C15) + _BYTE[c]
             at += _MOVES[r, j][c]
-        out[:, r] = mix(key)
+        out[:, r - first] = mix(key)
     return out
 
 
@@ -176,7 +187,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                 starts = word_starts(data)
                 # A walk goes half its steps far on average; windows that would leave the item are of no use.
                 starts = starts[(starts == 0) | (starts + STEPS // 2 + 4 <= len(data))]
-                k = walk_keys(np.concatenate([data, np.zeros(_PAD, np.uint8)]), starts)
+                k = walk_keys(np.concatenate([data, np.zeros(_PAD, np.uint8)]), starts, 0, repeats(len(data)))
                 own.append(i)
                 texts.append(data.tobytes())
                 keys.append(k.view(np.int64).ravel().tolist())
@@ -215,7 +226,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
             for b in slices(whole, 1):
                 data, ends = text_bytes(b.column(1))
                 norm, at = normalise_all(data, ends)
-                inside = np.zeros(len(norm), bool)
+                inside, drawn = np.zeros(len(norm), bool), np.zeros(len(norm), np.int8)
                 near = {q: np.concatenate([[0], np.cumsum(bits[_grams(norm, q)], dtype=np.int32)])
                         for q, bits in by_gram.items() if len(norm) >= q}
                 for low, high in classes:
@@ -227,8 +238,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                     if full.any():  # a place is inside if such a window begins less than its length before it
                         begun, reach = np.cumsum(full, dtype=np.int32), width + q - 1
                         begun = np.append(begun, np.full(len(norm) - len(begun), begun[-1]))
-                        inside[:reach] |= begun[:reach] > 0
-                        inside[reach:] |= begun[reach:] > begun[:-reach]
+                        begun = np.concatenate([begun[:reach] > 0, begun[reach:] > begun[:-reach]])
+                        inside |= begun
+                        # Short items need more walks than long ones; each place has as many as the classes it may belong to.
+                        np.maximum(drawn, np.int8(repeats(low)), out=drawn, where=begun)
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
                 # A stretch ends where its text ends.
                 begins = np.searchsorted(at, ends[1:-1])
@@ -237,11 +250,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                 edge = np.sort(np.concatenate([edge, begins, begins])).reshape(-1, 2)
                 starts = word_starts(norm)
                 starts = starts[inside[starts]]
-                keys = walk_keys(np.concatenate([norm, np.zeros(_PAD, np.uint8)]), starts)
-                hit = by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)]
+                padded, done, hit_at, hit_keys = np.concatenate([norm, np.zeros(_PAD, np.uint8)]), 0, [], []
+                for n in sorted({repeats(low) for low, _ in classes}):
+                    starts = starts[drawn[starts] >= n]
+                    keys = walk_keys(padded, starts, done, n)
+                    which, column = np.nonzero(by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)])
+                    hit_at.append(starts[which])
+                    hit_keys.append(keys[which, column])
+                    done = n
+                hit_at, hit_keys = np.concatenate([starts[:0], *hit_at]), np.concatenate([np.empty(0, np.uint64), *hit_keys])
                 # The stretches that some hit lies in, and their distinct keys.
-                which, column = np.nonzero(hit)
-                stretch = np.searchsorted(edge[:, 0], starts[which], side="right") - 1
+                stretch = np.searchsorted(edge[:, 0], hit_at, side="right") - 1
                 rows, texts, places, hits = [], [], [], []
                 for e in np.unique(stretch):
                     mine = stretch == e
@@ -250,7 +269,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                     rows.append(row)
                     texts.append(data[lo:hi].tobytes())
                     places.append(int((data[ends[row]:lo] & 0xC0 != 0x80).sum()))
-                    hits.append(np.unique(keys[which[mine], column[mine]]).view(np.int64).tolist())
+                    hits.append(np.unique(hit_keys[mine]).view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(rows, pa.int32())), pa.array(texts, pa.binary()), pa.array(places, pa.int64()),
                      pa.array(hits, pa.list_(pa.int64()))], ["doc", "piece", "place", "keys"])

@@ -108,6 +108,29 @@ def test_gram_size_keeps_enough_grams():
         assert length - q + 1 - q * decontaminate.edits(length) >= 1
 
 
+@pytest.mark.parametrize("length", [50, 56, 62, 63, 70, 75, 87, 100, 150, 250])
+def test_walks_reach_their_target_at_the_full_edit_rate(length):
+    rng, n, hit = random.Random(length), 300, 0
+    pad = np.zeros(decontaminate._PAD, np.uint8)
+    prose = lambda n: " ".join("".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(rng.randint(2, 8)))
+                               for _ in range(n))[:n - 1].rstrip().ljust(n, "e")
+    for i in range(n):
+        item = prose(length)
+        x, e = list(item), decontaminate.edits(length)
+        places = [int((j + 0.5) * length / e) for j in range(e)] if i % 2 else [rng.randrange(length - e) for _ in range(e)]
+        for at in sorted(places, reverse=True):
+            how = rng.random()
+            x[at:at + (how < 0.66)] = "" if how < 0.33 else rng.choice("etaoinshrd lu")
+        doc = np.frombuffer(f"{prose(60)} {''.join(x)} {prose(60)}".encode(), np.uint8)
+        own, last = np.frombuffer(item.encode(), np.uint8), decontaminate.repeats(length)
+        starts = decontaminate.word_starts(own)
+        starts = starts[(starts == 0) | (starts + decontaminate.STEPS // 2 + 4 <= length)]
+        keys = [set(decontaminate.walk_keys(np.concatenate([y, pad]), s, 0, last).ravel().tolist())
+                for y, s in ((own, starts), (doc, decontaminate.word_starts(doc)))]
+        hit += bool(keys[0] & keys[1])
+    assert hit >= decontaminate.TARGET * n
+
+
 def test_the_gram_bound_of_a_class_holds_at_each_of_its_sizes():
     rng = random.Random(5)
     for low in range(decontaminate.LEAST, 200):
