@@ -5,12 +5,16 @@ document is within ``RATE`` of the item's length in edits.
 
 1. Items of about one size are a class.  By the q-gram lemma a piece that is near an item shares many of its q-grams,
    so only stretches of a document with that many q-grams of any item can hold one; nothing is lost here.
-2. In those stretches a window begins at every word.  A CGK walk reads it: each step writes a character and moves on or
+2. In those stretches a window of about 32 characters begins at every word.  A CGK walk reads it: each step writes a character and moves on or
    stays by a random bit of step and character, so texts at a small edit distance soon write the same again.  Some
    steps, chosen at random, are the window's key; walks and steps are drawn ``repeats(size)`` times.  Windows of the items begin at
    every word too, so that one window without an edit in reach of its sampled steps is enough.
+   Walks stop at the end of a text.  Items too short for such windows (below ``LEAST`` characters, or with few words for
+   their size) have exact keys instead: cut into one piece more than edits are allowed, they keep one piece whole.
 3. Stretches and items that share a key are compared by their exact edit distance.
 
+Items so short that no edit is allowed (below 13 characters) are found where they stand as whole words.
+
 What tasks hold of the benchmark are bitmaps of fixed size; keys and texts of items are joined.
 """
 
@@ -27,23 +31,26 @@ from .common import _BYTE, lower_latin, mix, slices, table, text_bytes, written
 
 #: Edits per character of an item up to which it counts as found.
 RATE = 0.08
-#: Items with fewer characters are not looked for: they would be everywhere.
-LEAST = 24
+#: Items with fewer characters are too short for walks.
+LEAST = 50
 SAMPLES, STEPS = 10, 64
 #: Part of the items that share a key with a piece at the full edit rate, and how often walks are drawn for it from a size on.
 #: Simulated leaks (300 a size, edits at random places or as far apart as can be) needed 30 repeats at 40 characters, 14 at
 #: 50, 7 at 63, 5 at 75 and 88, and 3 at 100 and above to reach the target; the table has about twice that from 50 on.
 TARGET = 0.99
-REPEATS_FROM = {0: 48, 50: 24, 63: 14, 75: 10, 100: 6}
+REPEATS_FROM = {LEAST: 24, 63: 14, 75: 10, 100: 6}
 REPEATS = max(REPEATS_FROM.values())
 #: Sizes of a class are within this factor.
 SPREAD = 1.5
 _GRAM_BITS, _KEY_BITS = 23, 24
 _PAD = STEPS + 8
+#: Pieces of items with exact keys have this many characters at most.
+_SEED = 12
 
 _KEEP = np.array([48 <= b < 58 or 97 <= b < 123 or b >= 128 for b in range(256)])
 _RANDOM = np.random.default_rng(20)
 _MOVES = _RANDOM.integers(0, 2, (REPEATS, STEPS, 256)).astype(np.int64)
+_MOVES[:, :, 0] = 0  # a walk stops at the end of its text
 _PICKS = np.sort(np.stack([_RANDOM.permutation(STEPS)[:SAMPLES] for _ in range(REPEATS)]), 1)
 
 
@@ -69,6 +76,10 @@ def edits(length: int) -> int:
     return int(RATE * length)
 
 
+#: Items with fewer characters allow no edit.
+_NO_EDIT = next(n for n in range(1, 1000) if edits(n))
+
+
 def grams_shared(q: int, low: int, high: int) -> int:
     """How many q-grams a near piece shares at least with an item of any size from low to high.
 
@@ -120,6 +131,32 @@ def walk_keys(data: np.ndarray, starts: np.ndarray, first: int = 0, last: int =
     return out
 
 
+def span_keys(data: np.ndarray, starts: np.ndarray, sizes: list[int], kind: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of ``sizes`` and the keys of so many bytes from each start; ``data`` has so many bytes after the last start."""
+    key = np.full(len(starts), 1000 + kind, np.uint64)
+    for n in range(1, max(sizes, default=0) + 1):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + _BYTE[data[starts + n - 1]]
+        if n in sizes:
+            yield n, mix(key + np.uint64(n))
+
+
+def by_walks(data: np.ndarray) -> bool:
+    """Whether an item has enough windows to be found by walks."""
+    return len(data) >= LEAST and 12 * len(word_starts(data)) >= len(data)
+
+
+def seed_size(length: int) -> int:
+    return min(_SEED, length // (edits(length) + 1))
+
+
+def exact_keys(data: np.ndarray) -> np.ndarray:
+    """Keys of one piece more than edits are allowed; of the whole item where none is."""
+    n = seed_size(len(data))
+    if not edits(len(data)):
+        return np.concatenate([k for _, k in span_keys(data, np.zeros(1, np.int64), [len(data)], 1)])
+    return np.concatenate([k for _, k in span_keys(data, np.arange(edits(len(data)) + 1) * n, [n], 0)])
+
+
 def word_starts(data: np.ndarray) -> np.ndarray:
     first = np.zeros(len(data), bool)
     first[1:] = (data[:-1] == 32) | (data[:-1] == 0)
@@ -171,36 +208,45 @@ def _classes(lengths: list[int]) -> list[tuple[int, int]]:
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """Rows (key, item, distance, start, end): each document and each item found in it, at its nearest piece.
 
-    start and end are places in the document's text, in characters.  Null and empty texts, and items with fewer than ``LEAST``
-    characters, are in no row.  Repeated documents and items each give their own rows; other columns are left out.
+    start and end are places in the document's text, in characters.  Null texts and those without a letter or digit are in
+    no row.  Repeated documents and items each give their own rows; other columns are left out.
     """
     spark = docs.sparkSession
     wanted = items.select(F.col(item).alias("item"), "text").where("text is not null")
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, texts, keys = [], [], []
+            own, texts, keys, walks = [], [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 data, _ = normalise(np.frombuffer(t.encode(), np.uint8))
-                if len(data) < LEAST:
+                if not len(word_starts(data)):
                     continue
-                starts = word_starts(data)
-                # A walk goes half its steps far on average; windows that would leave the item are of no use.
-                starts = starts[(starts == 0) | (starts + STEPS // 2 + 4 <= len(data))]
-                k = walk_keys(np.concatenate([data, np.zeros(_PAD, np.uint8)]), starts, 0, repeats(len(data)))
+                walks.append(by_walks(data))
+                if walks[-1]:
+                    starts = word_starts(data)
+                    # A walk goes half its steps far on average; windows that would leave the item are of no use.
+                    starts = starts[(starts == 0) | (starts + STEPS // 2 + 4 <= len(data))]
+                    k = walk_keys(np.concatenate([data, np.zeros(_PAD, np.uint8)]), starts, 0, repeats(len(data)))
+                else:
+                    k = exact_keys(data)
                 own.append(i)
                 texts.append(data.tobytes())
                 keys.append(k.view(np.int64).ravel().tolist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own, b.column(0).type), pa.array(texts, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["item", "norm", "keys"])
+                [pa.array(own, b.column(0).type), pa.array(texts, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(walks, pa.bool_())], ["item", "norm", "keys", "walks"])
 
     kind = wanted.schema["item"].dataType.simpleString()
-    known = written(wanted.mapInArrow(prepare, f"item {kind}, norm binary, keys array<long>")
+    known = written(wanted.mapInArrow(prepare, f"item {kind}, norm binary, keys array<long>, walks boolean")
                     .withColumn("no", F.monotonically_increasing_id()), "items")
-    sizes = [r[0] for r in known.select(F.length("norm")).distinct().collect()]  # item lengths, not items
-    classes = _classes(sizes)
-    used = {gram_size(low, high) for low, high in classes}
+    sizes = known.select(F.length("norm"), "walks").distinct().collect()  # item lengths, not items
+    word_sizes = sorted({n for n, _ in sizes if not edits(n)})
+    sizes = [(n, walks) for n, walks in sizes if edits(n)]
+    # Each class, and the sizes of pieces in it that have exact keys.
+    classes = [(low, high, walks, sorted({seed_size(n) for n, w in sizes if w == walks and low <= n <= high} if not walks else ()))
+               for walks in (False, True) for low, high in _classes([n for n, w in sizes if w == walks])]
+    seed_sizes = sorted({n for c in classes for n in c[3]})
+    used = {gram_size(low, high) for low, high, _, _ in classes}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -212,7 +258,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
 
     # Bitmaps of 2 ** 23 and 2 ** 24 bits, whatever the size of the benchmark.
     gram_bits = {q: np.zeros(1 << _GRAM_BITS, bool) for q in used}
-    for r in known.select("norm").mapInArrow(grams, "q int, bit long").distinct().collect():
+    for r in known.select("norm").where(F.length("norm") >= _NO_EDIT).mapInArrow(grams, "q int, bit long").distinct().collect():
         gram_bits[r["q"]][r["bit"]] = True
     item_keys = written(known.select("no", F.explode(F.array_distinct("keys")).alias("key")), "item_keys")
     key_bits = np.zeros(1 << _KEY_BITS, bool)
@@ -226,10 +272,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
             for b in slices(whole, 1):
                 data, ends = text_bytes(b.column(1))
                 norm, at = normalise_all(data, ends)
+                # A zero byte at the end of each text, which no gram, window or stretch goes past.
+                apart = np.searchsorted(at, ends[1:-1])
+                norm, at = np.insert(norm, apart, 0), np.insert(at, apart, ends[1:-1])
                 inside, drawn = np.zeros(len(norm), bool), np.zeros(len(norm), np.int8)
+                seeded = {n: np.zeros(len(norm), bool) for n in seed_sizes}
                 near = {q: np.concatenate([[0], np.cumsum(bits[_grams(norm, q)], dtype=np.int32)])
                         for q, bits in by_gram.items() if len(norm) >= q}
-                for low, high in classes:
+                for low, high, walks, seeds in classes:
                     q = gram_size(low, high)
                     if q not in near:
                         continue
@@ -241,24 +291,29 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                         begun = np.concatenate([begun[:reach] > 0, begun[reach:] > begun[:-reach]])
                         inside |= begun
                         # Short items need more walks than long ones; each place has as many as the classes it may belong to.
-                        np.maximum(drawn, np.int8(repeats(low)), out=drawn, where=begun)
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]])))
-                # A stretch ends where its text ends.
-                begins = np.searchsorted(at, ends[1:-1])
-                begins = np.unique(begins[(begins > 0) & (begins < len(norm))])
-                begins = begins[inside[begins] & inside[begins - 1]]
-                edge = np.sort(np.concatenate([edge, begins, begins])).reshape(-1, 2)
+                        if walks:
+                            np.maximum(drawn, np.int8(repeats(low)), out=drawn, where=begun)
+                        for n in seeds:
+                            seeded[n] |= begun
+                inside &= norm != 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))).reshape(-1, 2)
                 starts = word_starts(norm)
-                starts = starts[inside[starts]]
+                whole_words, starts = starts, starts[inside[starts]]
                 padded, done, hit_at, hit_keys = np.concatenate([norm, np.zeros(_PAD, np.uint8)]), 0, [], []
-                for n in sorted({repeats(low) for low, _ in classes}):
+                for n in sorted({repeats(low) for low, _, walks, _ in classes if walks}):
                     starts = starts[drawn[starts] >= n]
                     keys = walk_keys(padded, starts, done, n)
                     which, column = np.nonzero(by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)])
                     hit_at.append(starts[which])
                     hit_keys.append(keys[which, column])
                     done = n
-                hit_at, hit_keys = np.concatenate([starts[:0], *hit_at]), np.concatenate([np.empty(0, np.uint64), *hit_keys])
+                for n in seed_sizes:
+                    starts = np.flatnonzero(seeded[n] & inside)
+                    for _, keys in span_keys(padded, starts, [n], 0):
+                        which = by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)]
+                        hit_at.append(starts[which])
+                        hit_keys.append(keys[which])
+                hit_at, hit_keys = np.concatenate([whole_words[:0], *hit_at]), np.concatenate([np.empty(0, np.uint64), *hit_keys])
                 # The stretches that some hit lies in, and their distinct keys.
                 stretch = np.searchsorted(edge[:, 0], hit_at, side="right") - 1
                 rows, texts, places, hits = [], [], [], []
@@ -270,6 +325,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                     texts.append(data[lo:hi].tobytes())
                     places.append(int((data[ends[row]:lo] & 0xC0 != 0x80).sum()))
                     hits.append(np.unique(hit_keys[mine]).view(np.int64).tolist())
+                # Words that are an item are rows of their own, each the first of its document.
+                for n, keys in span_keys(padded, whole_words, word_sizes, 1):
+                    which = by_key[(keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)]
+                    which &= (padded[whole_words + n] == 32) | (padded[whole_words + n] == 0)
+                    row = np.searchsorted(ends, at[whole_words[which]], side="right") - 1
+                    _, first = np.unique(np.stack([row.astype(np.uint64), keys[which]]), axis=1, return_index=True)
+                    for w in np.flatnonzero(which)[first].tolist():
+                        lo, hi = at[whole_words[w]], at[whole_words[w] + n - 1] + 1
+                        rows.append(int(np.searchsorted(ends, lo, side="right")) - 1)
+                        texts.append(data[lo:hi].tobytes())
+                        places.append(int((data[ends[rows[-1]]:lo] & 0xC0 != 0x80).sum()))
+                        hits.append(keys[w:w + 1].view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(rows, pa.int32())), pa.array(texts, pa.binary()), pa.array(places, pa.int64()),
                      pa.array(hits, pa.list_(pa.int64()))], ["doc", "piece", "place", "keys"])
@@ -289,9 +356,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
             for i, (piece, place, norm) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
                 own = np.frombuffer(piece, np.uint8)
                 data, at = normalise(own)
+                if not edits(len(norm)) and data.tobytes() != norm:
+                    continue
                 q, want = gram_size(len(norm)), np.frombuffer(norm, np.uint8)
                 # The lemma once more, for this item alone: most pairs that met by chance end here.
-                if np.isin(_grams(want, q), _grams(data, q)).sum() < len(norm) - q + 1 - q * edits(len(norm)):
+                if edits(len(norm)) and np.isin(_grams(want, q), _grams(data, q)).sum() < len(norm) - q + 1 - q * edits(len(norm)):
                     continue
                 distance, first, last = nearest_piece(norm, data.tobytes())
                 if distance <= edits(len(norm)) and last > first:

@@ -276,7 +276,7 @@ def test_leaks_are_found_with_edits_and_nothing_else(spark, documents, prose):
     assert decontaminate.find_leaks(docs.where("false"), bench).count() == 0
 
 
-@pytest.mark.parametrize("sizes", [range(75, 112), range(112, 168)])
+@pytest.mark.parametrize("sizes", [range(50, 75), range(75, 112), range(112, 168)])
 def test_leaks_with_edits_far_apart_are_found_at_every_size(spark, documents, sizes):
     rng = random.Random(13)
     letters = lambda n: "".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(n))
@@ -292,6 +292,34 @@ def test_leaks_with_edits_far_apart_are_found_at_every_size(spark, documents, si
     assert {(r.doc_id, r.item_id) for r in got} >= {(n, n) for n in sizes}
 
 
+def test_leaks_of_short_items_and_of_items_without_blanks_are_found(spark, documents):
+    rng = random.Random(14)
+    letters = lambda n: "".join(rng.choice("etaoinshrdlucmfwypvbgk") for _ in range(n))
+    prose = lambda n: " ".join(letters(rng.randint(2, 7)) for _ in range(n))
+    cut = lambda n: (prose(n)[:n - 1] + "e").replace(" e", "ae")
+    items = [(n + 1000 * k, cut(n)) for n in range(6, 80) for k in range(3)] + [(5000, letters(90)), (5001, "é" + letters(60))]
+    rows, planted = [], set()
+    for i, (no, item) in enumerate(items):
+        x, e = list(item), decontaminate.edits(len(item.encode()))
+        # Edited, at a document's end, in front of other documents' beginnings; unedited; glued to a word, if edits are allowed.
+        for place in sorted((int((j + 0.5) * len(item) / e) for j in range(e)), reverse=True):
+            x[place:place + 1] = rng.choice(["", "0", "0" + x[place]])
+        for k, text in enumerate((f"{prose(30)} {''.join(x)}", f"{item.upper()}, {prose(30)}", f"{prose(3)} {'q' * (e > 0)}{item}!")):
+            rows.append((3 * i + k, text))
+            planted.add((3 * i + k, no))
+    rows.append((-1, f"{prose(5)} q{items[0][1]} {items[1][1]}q"))  # no whole words
+    docs, bench = documents(*rows), spark.createDataFrame(items + [(-2, "?!"), (-3, None)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    missed = planted - {(r.doc_id, r.item_id) for r in got}
+    assert {i for _, i in missed if i % 1000 < decontaminate.LEAST or i >= 5000} == set() and len(missed) <= 0.01 * len(planted)
+    assert len(got) == len({(r.doc_id, r.item_id) for r in got}) and not {r for r in got if r.doc_id == -1}
+    texts, wanted = dict(rows), dict(items)
+    flat = lambda t: decontaminate.normalise(np.frombuffer(t.encode(), np.uint8))[0].tobytes()
+    for r in got:
+        piece = texts[r.doc_id][r.start:r.end]
+        assert decontaminate.nearest_piece(flat(wanted[r.item_id]), flat(piece))[0] == r.distance <= decontaminate.edits(len(flat(wanted[r.item_id])))
+
+
 # -- 9: mixing ---------------------------------------------------------------------------------------
 
 
