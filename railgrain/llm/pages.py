@@ -3,8 +3,9 @@
 A small parser turns a page into text lines (blocks) and drops what its markup names: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers.  Where a page marks its article (``article`` or
 ``main``), the lines are those inside it, and they are kept as they are.  On all other pages, lines are compared with
-those of the pages next to it in URL order on the same host: a longest common subsequence aligns the two, and shared
-lines go.  A neighbour that shares nearly all lines is a copy of the page and says nothing about its frame.
+those of the nearest different page in URL order on the same host: a longest common subsequence aligns the two, and
+shared lines go.  Pages with the same lines are one in that order.  A page that has nearly all of another's own lines, those
+that are not common on the host, is a copy too and says nothing about its frame; the search then goes on further away.
 
 Only hashes of lines travel to neighbours.  The order is a range sort over all hosts and a join on the place in it, so a
 host with a third of all pages is not one task.
@@ -23,8 +24,12 @@ from pyspark.sql import functions as F
 
 from .common import parts, slices, table, written
 
-#: A neighbour that shares more of a page's lines than this is a copy.
+#: A neighbour that has more of a page's own lines than this is a copy.
 COPY = 0.8
+#: Common lines are on this part of a host's different pages, and on three of them (or both).
+COMMON = 0.25
+#: How far away, in places either way, pages are tried after the nearest ones.
+_FURTHER = [2 ** k for k in range(1, 24)]
 
 # Element and class names.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -208,26 +213,38 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, url string, host string, path string, lines array<string>, hashes array<long>, marked boolean"
     parsed = written(rows.mapInArrow(parse, schema).withColumn("id", F.monotonically_increasing_id()), "lines")
+    parsed = parsed.withColumn("sig", F.xxhash64("host", "marked", "hashes"))
     gone = written(differences(parsed), "shared_lines")
     kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept)
     # Pages with a marked article lose nothing and need no join.
-    out = parsed.where(~F.col("marked")).join(gone, "id", "left")
+    out = parsed.where(~F.col("marked")).join(gone, "sig", "left")
     out = out.select("key", "url", kept.alias("lines"), (F.size("lines") - F.size(kept)).cast("long").alias("n_shared"))
     out = out.unionByName(parsed.where("marked").select("key", "url", "lines", F.lit(0).cast("long").alias("n_shared")))
     return out.withColumnsRenamed({"key": key, "url": url})
 
 
 def differences(parsed: DataFrame) -> DataFrame:
-    """id and gone (a flag for each line) of pages that lose lines to a neighbour.
+    """sig and gone (a flag for each line) of pages that lose lines to another page.
 
-    ``parsed`` has id, key, host, path, hashes and marked.  All pages are in the order, and each is compared with the
-    page before it and the page after it on its host, the one with the longer common path first; the other one counts
-    where the first is a copy.
+    ``parsed`` has id, key, host, path, hashes, marked and sig, which is equal for pages of a host with the same lines.  All
+    different pages are in the order, and each is compared with the page before it and the page after it on its host, the
+    one with the longer common path first; where both are copies, with pages further away, the nearest first.
     """
     spark = parsed.sparkSession
-    order = ["host", "path", "key", "id"]
-    seq = parsed.select("id", "key", "host", "path", "hashes", "marked")
+    order = ["host", "marked", "path", "key", "id"]
+    pages = parsed.where(~F.col("marked") & (F.size("hashes") > 0)).groupBy("sig").agg(
+        F.min(F.struct(*order)).alias("at"), F.first("hashes").alias("hashes")).select("at.*", "sig", "hashes")
+    pages = written(pages, "different_pages")
+    site = ["host", "marked"]
+    count = pages.groupBy(site).agg(F.count("*").alias("n_pages"))
+    line = pages.select(*site, F.explode(F.array_distinct("hashes")).alias("line")).groupBy(*site, "line").agg(F.count("*").alias("n"))
+    line = line.where("n > 1").join(count, site).where(F.expr(f"n >= greatest(least(3, n_pages), n_pages * {COMMON})"))
+    # Each page has few lines, so few lines are on so large a part of the pages.
+    line = line.groupBy(site).agg(F.collect_list("line").alias("common"))
+    hosts = written(count.join(line, site, "left"), "common_lines")
+    seq = pages.join(hosts, site, "left").withColumn("own", F.array_except("hashes", F.coalesce("common", F.array().cast("array<long>"))))
+    seq = seq.select(*order, "sig", "hashes", "own", "n_pages")
     seq = seq.repartitionByRange(parts(spark), *order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
     seq = seq.withColumn("run", F.shiftright(place, 33)).withColumn("place", place.bitwiseAND((1 << 33) - 1))
@@ -236,33 +253,38 @@ def differences(parsed: DataFrame) -> DataFrame:
     runs = seq.groupBy("run").agg(F.count("*").alias("n")).select("run", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     # One row for each part of the range sort.
     seq = seq.join(F.broadcast(runs), "run").withColumn("rank", F.col("base") + F.col("place"))
-    seq = seq.select("id", "host", "path", "hashes", "marked", "rank")
-    asking = seq.where(~F.col("marked") & (F.size("hashes") > 0))
-    # Both neighbours of a page, each under the page's own place in the order.
-    beside = seq.select(F.explode(F.array(F.struct((F.col("rank") + 1).alias("rank"), F.lit(False).alias("after")),
-                                          F.struct((F.col("rank") - 1).alias("rank"), F.lit(True).alias("after")))).alias("of"),
-                        F.col("host").alias("host2"), F.col("path").alias("path2"), F.col("hashes").alias("hashes2"))
-    beside = beside.select("of.*", "host2", "path2", "hashes2")
-    pairs = asking.join(beside, "rank").where("host = host2")
-    near = F.struct("after", "path2", "hashes2")
-    pairs = pairs.groupBy("id").agg(F.first("path").alias("path"), F.first("hashes").alias("hashes"),
-                                    F.sort_array(F.collect_list(near)).alias("near"))  # two at most
+    seq = seq.select(*site, "path", "sig", "hashes", "own", "n_pages", "rank")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, flags = [], []
             for row in b.to_pylist():
-                mine = row["hashes"]
-                for n in sorted(row["near"], key=lambda n: -_common(row["path"], n["path2"])):
-                    on = shared(mine, n["hashes2"])
-                    if sum(on) <= COPY * len(mine):
-                        if any(on):
-                            ids.append(row["id"])
-                            flags.append(on)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(flags, pa.list_(pa.bool_()))], ["id", "gone"])
-
-    return pairs.mapInArrow(align, "id long, gone array<boolean>")
+                mine, own, gone = row["hashes"], set(row["own"]), None
+                for n in sorted(row["near"], key=lambda n: (n["away"], -_common(row["path"], n["path2"]), n["after"])):
+                    # Of two pages, one that is all in the other may be a piece of it.
+                    if len(own.intersection(n["hashes2"])) > COPY * len(own) or not own and row["n_pages"] == 2:
+                        continue
+                    gone = shared(mine, n["hashes2"])
+                    break
+                ids.append(row["sig"])
+                flags.append(gone)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(flags, pa.list_(pa.bool_()))], ["sig", "gone"])
+
+    def compare(pages: DataFrame, away: list[int]) -> DataFrame:
+        """sig and gone of pages that have a page so far away; gone is null where all of these are copies."""
+        of = F.explode(F.array(*(F.struct((F.col("rank") + d * n).alias("rank"), F.lit(n).alias("away"), F.lit(d > 0).alias("after"))
+                                 for n in away for d in (-1, 1)))).alias("of")
+        asked = pages.select(*site, "sig", "path", "own", "n_pages", F.col("rank").alias("rank1"), of, "hashes")
+        asked = asked.select(*site, "sig", "path", "own", "n_pages", "hashes", "of.*")
+        other = seq.select("rank", *site, F.col("path").alias("path2"), F.col("hashes").alias("hashes2"))
+        pairs = asked.join(other, ["rank", *site]).groupBy("sig").agg(
+            *(F.first(c).alias(c) for c in ("path", "own", "n_pages", "hashes")),
+            F.collect_list(F.struct("away", "after", "path2", "hashes2")).alias("near"))  # two for each distance at most
+        return pairs.mapInArrow(align, "sig long, gone array<boolean>")
+
+    near = written(compare(seq, [1]), "nearest")
+    copies = seq.join(near.where("gone is null").select("sig"), "sig")
+    return near.unionByName(compare(copies, _FURTHER)).where(F.exists("gone", lambda x: x))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

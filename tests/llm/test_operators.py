@@ -243,6 +243,25 @@ def test_page_differencing(spark):
     assert pages.extract(df.where("false")).count() == 0
 
 
+def test_pages_with_little_text_and_copies_lose_their_frame(spark):
+    frame = ["Home page", "All topics", "Imprint", "Contact us", "All rights reserved"]
+    page = lambda *own: "<body>" + "".join(f"<div>{x}</div>" for x in frame + list(own)) + "</body>"
+    want = {(1, i): [f"news {i}"] for i in range(5)}  # one own line each
+    want |= {(2, i): ["a first line", "a second line"] for i in range(3)} | {(2, 3): ["another page"]}  # three copies in a row
+    # Twenty near copies in a row, on a host with many other pages.
+    text = [f"line {i}" for i in range(40)]
+    want |= {(3, i): text + [f"visited {i} times"] for i in range(20)} | {(3, i): [f"own {i}"] for i in range(20, 100)}
+    want |= {(4, 0): ["only one"], (4, 1): ["and two"]}
+    rows = [(1000 * h + i, f"http://h{h}.com/x/{i:03}", page(*own)) for (h, i), own in want.items()]
+    # A host of copies alone keeps all, and so does one whose one page is a piece of the other.
+    rows += [(5000 + i, f"http://h5.com/{i}", page("same")) for i in range(4)]
+    rows += [(6000, "http://h6.com/0", page()), (6001, "http://h6.com/1", page("and more"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r.page_id // 1000, r.page_id % 1000): (r.lines, r.n_shared) for r in pages.extract(df).collect()}
+    assert {k: got[k] for k in want} == {k: (v, 5) for k, v in want.items()}
+    assert all(got[5, i] == (frame + ["same"], 0) for i in range(4)) and got[6, 0] == (frame, 0)
+
+
 # -- 8: benchmark items ------------------------------------------------------------------------------
 
 
