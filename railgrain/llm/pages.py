@@ -2,9 +2,8 @@
 
 A small parser turns a page into text lines (blocks) and drops what its markup names: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers.  Where a page marks its article (``article`` or
-``main``), the lines are those inside it, and they are kept as they are.  On all other pages, lines are compared with
-those of the nearest different page in URL order on the same host: a longest common subsequence aligns the two, and
-shared lines go.  Pages with the same lines are one in that order.  A page that has nearly all of another's own lines, those
+``main``), the lines are those inside it.  Lines are compared with those of the nearest different page in URL order on the
+same host, lines of articles with lines of articles: a longest common subsequence aligns the two, and shared lines go.  Pages with the same lines are one in that order.  A page that has nearly all of another's own lines, those
 that are not common on the host, is a copy too and says nothing about its frame; the search then goes on further away.
 
 Only hashes of lines travel to neighbours.  The order is a range sort over all hosts and a join on the place in it, so a
@@ -217,10 +216,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     gone = written(differences(parsed), "shared_lines")
     kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept)
-    # Pages with a marked article lose nothing and need no join.
-    out = parsed.where(~F.col("marked")).join(gone, "sig", "left")
+    out = parsed.join(gone, "sig", "left")
     out = out.select("key", "url", kept.alias("lines"), (F.size("lines") - F.size(kept)).cast("long").alias("n_shared"))
-    out = out.unionByName(parsed.where("marked").select("key", "url", "lines", F.lit(0).cast("long").alias("n_shared")))
     return out.withColumnsRenamed({"key": key, "url": url})
 
 
@@ -229,11 +226,12 @@ def differences(parsed: DataFrame) -> DataFrame:
 
     ``parsed`` has id, key, host, path, hashes, marked and sig, which is equal for pages of a host with the same lines.  All
     different pages are in the order, and each is compared with the page before it and the page after it on its host, the
-    one with the longer common path first; where both are copies, with pages further away, the nearest first.
+    one with the longer common path first; where both are copies, with pages further away, the nearest first.  Pages with a
+    marked article are an order of their own.
     """
     spark = parsed.sparkSession
     order = ["host", "marked", "path", "key", "id"]
-    pages = parsed.where(~F.col("marked") & (F.size("hashes") > 0)).groupBy("sig").agg(
+    pages = parsed.where(F.size("hashes") > 0).groupBy("sig").agg(
         F.min(F.struct(*order)).alias("at"), F.first("hashes").alias("hashes")).select("at.*", "sig", "hashes")
     pages = written(pages, "different_pages")
     site = ["host", "marked"]

@@ -262,6 +262,13 @@ def test_pages_with_little_text_and_copies_lose_their_frame(spark):
     assert all(got[5, i] == (frame + ["same"], 0) for i in range(4)) and got[6, 0] == (frame, 0)
 
 
+def test_marked_articles_lose_what_their_neighbours_repeat(spark):
+    page = "<body><div>Home</div><main><p>Please sign up</p><p>{}</p><p>Please pay</p></main></body>".format
+    rows = [(i, f"http://a.com/{i}", page(f"text {i}")) for i in range(5)] + [(9, "http://a.com/2b", "<div>Home</div><p>Please pay</p>")]
+    got = {r.page_id: (r.lines, r.n_shared) for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ([f"text {i}"], 2) for i in range(5)} | {9: (["Home", "Please pay"], 0)}
+
+
 # -- 8: benchmark items ------------------------------------------------------------------------------
 
 
