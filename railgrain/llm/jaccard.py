@@ -117,31 +117,38 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.select("text", "rep").mapInArrow(read, "rep long, shingles binary")
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets are linked: filters under further orders first, then the sets themselves."""
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """What two sorted sets have in common if they are linked, or 0: filters under further orders first, then the sets."""
     if SHARE * max(len(a), len(b)) > 100 * min(len(a), len(b)):
-        return False
+        return 0
     for by in _ORDERS:
         x, y = (np.sort(mix(s ^ by))[: len(s) - _overlap(len(s)) + 1] for s in (a, b))
         if not len(np.intersect1d(x, y, assume_unique=True)):
-            return False
+            return 0
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= SHARE * (len(a) + len(b) - both)
+    return both if 100 * both >= SHARE * (len(a) + len(b) - both) else 0
+
+
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    return overlap(a, b) > 0
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b, to) whose sets are linked."""
+    """Those of the pairs (a, b, to) whose sets are linked, with the sizes of intersection and union."""
     held = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     held = held.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            on = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                  for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
-            keep = pa.array(np.flatnonzero(on), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(c).take(keep) for c in range(3)], ["a", "b", "to"])
+            sets = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+                    for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            both = np.array([overlap(x, y) for x, y in sets], np.int64)
+            union = np.array([len(x) + len(y) for x, y in sets], np.int64) - both
+            on = np.flatnonzero(both)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(on, pa.int64())) for c in range(3)), pa.array(both[on]),
+                                              pa.array(union[on])], ["a", "b", "to", "intersection", "union"])
 
-    return held.select("a", "b", "to", "sa", "sb").mapInArrow(check, "a long, b long, to long")
+    return held.select("a", "b", "to", "sa", "sb").mapInArrow(check, "a long, b long, to long, intersection long, union long")
 
 
 def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
@@ -172,14 +179,34 @@ def join_components(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return _joined(docs, key).select(F.col("doc").alias(key), "n_shingles", "component_id", "n_copies")
 
 
-def _joined(docs: DataFrame, key: str) -> DataFrame:
+def all_links(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(a, b, intersection, union) of all linked pairs of classes, a < b, and (key, class, n_copies) of all rows of ``docs``.
+
+    A class is the rows with one set of shingles, numbered; the numbers mean nothing beyond these two tables.  Rows without
+    shingles are in no class.  Pairs inside one component are in it too, so a large group of near copies has as many rows
+    as it has links.
+    """
+    rows, signatures, members, classes, lookups = _prepared(docs, key)
+    mine = lookups.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"))
+    pairs = mine.join(lookups.withColumnRenamed("rep", "b"), "shingle").where("a < b")
+    pairs = pairs.where(F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na)")).select("a", "b").distinct()
+    pairs = written(pairs.withColumn("to", F.lit(0).cast("long")), "pairs")
+    links = written(_links(pairs, _lookup_sets(rows, signatures, lookups)).drop("to"), "links")
+    held = members.join(classes, ["s1", "s2", "n"], "left")
+    return links, held.select(F.col("doc").alias(key), F.col("rep").alias("class"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+
+
+def _prepared(docs: DataFrame, key: str) -> tuple[DataFrame, ...]:
     rows = docs.select(F.col(key).alias("doc"), F.col("text"), *_text_ids(F.coalesce("text", F.lit(""))))
     signatures = written(_signatures(rows).withColumn("row", F.monotonically_increasing_id()), "signatures")
     members = signatures.select("row", "doc", "x1", "x2", "n", "s1", "s2")
     classes = written(members.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("row").alias("rep"), F.min("doc").alias("least"), F.count("*").alias("n_copies")), "classes")
-    lookups = _lookups(signatures, classes)
+    return rows, signatures, members, classes, _lookups(signatures, classes)
+
 
+def _joined(docs: DataFrame, key: str) -> DataFrame:
+    rows, signatures, members, classes, lookups = _prepared(docs, key)
     labels = written(component_labels(docs, rows, signatures, lookups), "labels")
     label = F.coalesce("label", "rep")
     classes = classes.join(labels, classes["rep"] == labels["node"], "left").withColumn("label", label)
@@ -192,14 +219,18 @@ def _joined(docs: DataFrame, key: str) -> DataFrame:
         F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
-def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lookups: DataFrame) -> DataFrame:
-    """(node, label) of the classes that are linked to another."""
+def _lookup_sets(rows: DataFrame, signatures: DataFrame, lookups: DataFrame) -> DataFrame:
+    """rep and its whole set, for the classes that are looked up."""
     wanted = lookups.select("rep").distinct()
     wanted = signatures.join(wanted, signatures["row"] == wanted["rep"]).select("rep", "doc", "x1", "x2")
     texts = rows.withColumn("text", F.coalesce("text", F.lit(""))).join(
         wanted.withColumnRenamed("doc", "doc_"), ["x1", "x2"]).where(F.col("doc").eqNullSafe(F.col("doc_")))
-    sets = written(_sets(texts).dropDuplicates(["rep"]), "sets")
+    return written(_sets(texts).dropDuplicates(["rep"]), "sets")
+
 
+def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lookups: DataFrame) -> DataFrame:
+    """(node, label) of the classes that are linked to another."""
+    sets = _lookup_sets(rows, signatures, lookups)
     spark = docs.sparkSession
     edges = spark.createDataFrame([], "u long, v long")
     labelled = lookups.withColumn("label", F.col("rep"))
@@ -225,7 +256,7 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        found = written(_links(pairs, sets), "links")
+        found = written(_links(pairs, sets).select("a", "b"), "links")
         edges = edges.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if last:
             break

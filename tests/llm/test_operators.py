@@ -106,6 +106,36 @@ def test_components_of_paths_and_stars(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_all_links_inside_components_too(spark, documents, prose):
+    rng = random.Random(21)
+    rows = odd_rows(rng, prose)
+    for i in range(8):
+        words = prose(rng, 60).split()
+        for j in range(5):  # a group of near copies, each linked to several others, and one exact copy
+            x = list(words)
+            x[3 + 2 * j] = f"new{j}"
+            rows.append((100 + 10 * i + j, " ".join(x)))
+        rows.append((100 + 10 * i + 9, " ".join(words).upper()))
+        rows.append((100 + 10 * i + 8, " ".join(words)))
+    links, members = jaccard.all_links(documents(*rows))
+    members = members.collect()
+    assert Counter(r.doc_id for r in members) == Counter(r[0] for r in rows)
+    texts, sets = {r[0]: r[1] for r in rows if r[0] is not None and r[0] >= 100}, {}
+    for r in members:
+        if r.doc_id in texts:
+            w = texts[r.doc_id].lower().split()
+            sets[r["class"]] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+            assert r.n_copies == (2 if r.doc_id % 10 >= 8 else 1)
+    want = {}
+    for a in sets:
+        for b in sets:
+            both, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if a < b and 100 * both >= jaccard.SHARE * union:
+                want[a, b] = both, union
+    got = [r for r in links.collect() if r.a in sets and r.b in sets]
+    assert len(want) > 8 * 5 and len(got) == len(want) and {(r.a, r.b): (r.intersection, r.union) for r in got} == want
+
+
 # -- 3: host rules -----------------------------------------------------------------------------------
 
 
