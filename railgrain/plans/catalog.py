@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,13 @@ from ..operators import isochron as iso
 from ..operators import quality, reach, schedule
 from ..operators import stations as st
 from ..session import materialize, scratch_path
-from ..sources.archive import member_lines, stage_lines
+from ..sources import layouts as L
+from ..sources.archive import MEMBER_SUFFIXES, member_lines, stage_lines
+from ..sources.constraints import violations
 from ..sources.interchange import read_interchange
 from ..sources.links import read_fixed_links
-from ..sources.load import tables_of
-from ..sources.naptan import rail_references
+from ..sources.load import LoadRejected, load, load_into, publish, published
+from ..sources.naptan import read_naptan
 from ..sources.sink import read_tables, write_tables
 from ..sources.stations import read_stations
 from ..sources.timetable import read_timetable
@@ -230,18 +233,34 @@ def _(t: Tables) -> DataFrame:
 select concat('9100', tiploc_code) atco, tiploc_code tiploc, crs3 crs, concat(station_name, ', MAIN') stationname,
   easting * 10 easting, northing * 10 northing, 'U' gridtype from fx_station""")
 def _(t: Tables) -> DataFrame:
-    return rail_references(text.rail_reference_archives(t)).drop("stationnamelang")
+    return read_naptan(t.spark, text.rail_reference_archives(t)).drop("stationnamelang")
 
 
-@query("archive_members", "fx_station", sql="""
-select member, count(*) n_lines, sum(length(line)) n_chars from (
-  select 'tsi' member, concat(crs3, ',XC,', case when s_suppkey % 2 = 0 then 'GW' else '  ' end, ',',
-    cast(change_time as varchar(10)), ',', station_name) line from fx_station
-  union all select 'msn', repeat(' ', 82) from fx_station
-  union all select 'msn', repeat(' ', 82) from (select distinct floor(s_suppkey / 500) from fx_station) f) l
-group by member""")
+_CHANGES = "loc_order < last_order and (k + loc_order) % 11 = 0"
+
+
+def _train_lines(schedules: str, stops: str) -> str:
+    """Lines of a timetable's trains: schedules, their extra records and notes, stops and changes."""
+    return f"""(select count(*) from {schedules}) + (select count(*) from {stops})
+    + (select count(*) from {stops} where {_CHANGES}) + (select count(*) from {schedules} where k % 2 = 0 and k in (select k from {stops}))
+    + (select count(*) from {schedules} where k % 5 = 0 and k in (select k from {stops}))"""
+
+
+@query("archive_members", "fx_station", "fx_alias", "fx_link", "fx_association", "fx_stop", "fx_zstop", "fx_zschedule", "archives", sql=f"""
+select member, cast(n_lines as bigint) n_lines, cast(n_chars as bigint) n_chars from (
+  select 'mca' member, n n_lines, n * 80 n_chars from (select {_train_lines("fx_schedule", "fx_stop")}
+    + 3 * stations + (select count(*) from fx_association) + 2 * archives n from archives) m
+  union all select 'ztr', n, n * 80 from (select {_train_lines("fx_zschedule", "fx_zstop")} + 2 * archives n from archives) z
+  union all select 'msn', n, n * 82 from (
+    select 2 * stations + (select count(*) from fx_alias) + 2 * archives n from archives) s
+  union all select 'tsi', count(*), sum(length(concat(crs3, ',XC,  ,', cast(change_time as varchar(10)), ',', station_name))) from fx_station
+  union all select 'alf', count(*), sum(length(concat('M=', mode, ',O=', origin, ',D=', destination, ',T=999,T=',
+    cast(link_time as varchar(10)), ',S=0000,E=0000,P=4,R=', days_of_week))
+    + case when start_date is null then 0 else 13 end + case when end_date is null then 0 else 13 end) from fx_link
+) l""", extra={"archives": f"""select count(*) stations,
+  greatest(1, cast(floor(count(*) / {text._ARCHIVE_STATIONS}) as int)) archives from fx_station"""})
 def _(t: Tables) -> DataFrame:
-    lines = member_lines(text.station_archives(t), ("msn", "tsi"))
+    lines = member_lines(text.whole_archives(t), MEMBER_SUFFIXES)
     return lines.groupBy("member").agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.sum(F.length("value")).alias("n_chars"))
 
@@ -256,8 +275,74 @@ def _(t: Tables) -> DataFrame:
 
 @query("selective_load", "fx_station", sql=_INTERCHANGE)
 def _(t: Tables) -> DataFrame:
-    staged = stage_lines(member_lines(text.station_archives(t), ("tsi",)))
-    return tables_of(t.spark, {"tsi": staged["tsi"]})["tsi.tsi"]
+    return load(t.spark, text.whole_archives(t), skip={"mca", "ztr", "msn", "alf"})["tsi.tsi"]
+
+
+def _count(name: str, view: str, where: str = "true") -> str:
+    return f"select '{name}' table_name, count(*) n_rows from {view} where {where}"
+
+
+def _loaded_trains(source: str, schedules: str, stops: str) -> list[str]:
+    return [
+        _count(f"{source}.basic_schedule", schedules, f"stp_indicator = 'C' or k in (select k from {stops})"),
+        _count(f"{source}.origin_location", stops, "loc_order = 0"),
+        _count(f"{source}.intermediate_location", stops, "loc_order > 0 and loc_order < last_order"),
+        _count(f"{source}.terminating_location", stops, "loc_order = last_order"),
+        _count(f"{source}.changes_en_route", stops, _CHANGES), _count(f"{source}.location_specific_note", stops, "false"),
+    ]
+
+
+@query("load_archives", "fx_schedule", "fx_stop", "fx_zschedule", "fx_zstop", "fx_station", "fx_association", "fx_alias", "fx_link",
+       sql=" union all ".join([
+           *_loaded_trains("mca", "fx_schedule", "fx_stop"), *_loaded_trains("ztr", "fx_zschedule", "fx_zstop"),
+           _count("mca.associations", "fx_association"), _count("ztr.associations", "fx_association", "false"),
+           *(_count(f"mca.tiploc_{n}", "fx_station") for n in ("insert", "amend", "delete")),
+           *(_count(f"ztr.tiploc_{n}", "fx_station", "false") for n in ("insert", "amend", "delete")),
+           _count("msn.station_detail", "fx_station"), _count("msn.station_alias", "fx_alias"), _count("msn.routeing_groups", "fx_station"),
+           _count("tsi.tsi", "fx_station"), _count("alf.alf", "fx_link"), _count("naptan.railreferences", "fx_station")]))
+def _(t: Tables) -> DataFrame:
+    """All members of all archives and the rail references, checked and published; row counts of what readers then see."""
+    found = load_into(t.spark, scratch_path(t.spark, "load"), text.whole_archives(t), naptan=text.rail_reference_archives(t))
+    each = (df.select(F.lit(name).alias("table_name")) for name, df in found.items())
+    names = t.spark.createDataFrame([(name,) for name in found], "table_name string")
+    counts = reduce(DataFrame.unionAll, each).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, "table_name", "left").select("table_name", F.coalesce("n", F.lit(0)).alias("n_rows"))
+
+
+_SCHEDULE_KEY = "concat(train_uid, ' / ', cast(date_runs_from as varchar(10)), ' / ', stp_indicator)"
+_KEPT = "select distinct train_uid, date_runs_from, stp_indicator from fx_schedule_all where speed is not null"
+
+
+def _lost(name: str, where: str) -> str:
+    return f"""select 'mca.{name}' table_name, 'no schedule' rule, {_SCHEDULE_KEY} key, count(*) n from fx_stop s
+  where {where} and not exists (select 1 from kept p where p.train_uid = s.train_uid and p.date_runs_from = s.date_runs_from
+    and p.stp_indicator = s.stp_indicator) group by train_uid, date_runs_from, stp_indicator"""
+
+
+_CALLS = {"origin_location": "loc_order = 0", "intermediate_location": "loc_order > 0 and loc_order < last_order",
+          "terminating_location": "loc_order = last_order"}
+
+
+@query("load_constraints", "fx_schedule_all", "fx_stop", "fx_station", "kept", extra={"kept": _KEPT}, sql=" union all ".join([
+    f"""select 'mca.basic_schedule' table_name, 'repeated key' rule, {_SCHEDULE_KEY} key, count(*) n from fx_schedule_all
+  where speed is not null group by train_uid, date_runs_from, stp_indicator having count(*) > 1""",
+    *(_lost(name, where) for name, where in _CALLS.items()),
+    """select 'naptan.railreferences', 'repeated key', tiploc_code, 2 from fx_station where s_suppkey % 3 = 0""",
+    """select 'naptan.railreferences', 'null key', 'null', count(*) from fx_station where s_suppkey % 7 = 0 having count(*) > 0"""]))
+def _(t: Tables) -> DataFrame:
+    """Schedules with repeated keys, and without some that calls belong to; references with repeated and null keys."""
+    station = t.get("fx_station").select(F.col("tiploc_code").alias("tiploc"), "s_suppkey")
+    references = station.unionAll(station.filter("s_suppkey % 3 = 0")).unionAll(
+        station.filter("s_suppkey % 7 = 0").withColumn("tiploc", F.lit(None).cast("string")))
+    tables = {"mca.basic_schedule": t.schedules("fx_schedule_all").filter("speed is not null"), "naptan.railreferences": references}
+    tables |= {f"mca.{name}": t.stops().filter(where) for name, where in _CALLS.items()}
+    base = scratch_path(t.spark, "load")
+    try:
+        publish(t.spark, tables, base)
+    except LoadRejected as rejected:
+        assert not published(t.spark, base)
+        return rejected.violations.withColumnRenamed("table", "table_name")
+    return violations(tables).withColumnRenamed("table", "table_name")
 
 
 #: Tables of a timetable file with a key and a date column of each; the tenth, notes at stops, is empty in legal files.
@@ -428,6 +513,52 @@ def _(t: Tables) -> DataFrame:
         "tiploc_code", F.array_join("errors", ",").alias("errors"))
 
 
+def _spoiled(kind: str, view: str, layout, number: str, where: str = "true", id: str = "train_uid", but=()) -> str:
+    return f"""select '{kind}' kind, id, errors, count(*) n from (
+  select {id} id, {text.spoiled_field(layout, number, but)} errors from {view} where {where}) {kind} where errors is not null group by id, errors"""
+
+
+_FOREIGN = "select '{kind}' kind, {id} id, 'not ascii' errors, count(*) n from {view} where s_suppkey % {step} = 0 group by {id}"
+
+
+@query("field_checks", "fx_schedule", "fx_stop", "fx_association", "fx_station", "fx_alias", "fx_link", sql=" union all ".join([
+    f"""select 'schedule' kind, id, errors, count(*) n from (select train_uid id, concat_ws(',',
+  {text.spoiled_field(L.BASIC_SCHEDULE, "k", text.SCHEDULE_KEY)},
+  case when k % 2 = 0 and k in (select k from fx_stop) then {text.spoiled_field(L.EXTRA_DETAILS, "k")} end,
+  case when k % 5 = 0 and k in (select k from fx_stop) then {text.spoiled_field(L.NOTE, "k")} end) errors
+  from fx_schedule where stp_indicator = 'C' or k in (select k from fx_stop)) sch where errors <> '' group by id, errors""",
+    _spoiled("origin", "fx_stop", L.ORIGIN_LOCATION, "k + loc_order", "loc_order = 0"),
+    _spoiled("intermediate", "fx_stop", L.INTERMEDIATE_LOCATION, "k + loc_order", "loc_order > 0 and loc_order < last_order"),
+    _spoiled("terminating", "fx_stop", L.TERMINATING_LOCATION, "k + loc_order", "loc_order = last_order"),
+    _spoiled("change", "fx_stop", L.CHANGES_EN_ROUTE, "k + loc_order", "loc_order < last_order and (k + loc_order) % 11 = 0"),
+    _spoiled("association", "fx_association", L.ASSOCIATIONS, "k", id="main_train_uid"),
+    *(_FOREIGN.format(kind=f"tiploc_{n}", id="tiploc_code", view="fx_station", step=2) for n in ("insert", "amend", "delete")),
+    _spoiled("station", "fx_station", L.STATION_DETAIL, "s_suppkey", id="tiploc_code"),
+    _FOREIGN.format(kind="alias", id="alias_name", view="fx_alias", step=4),
+    _FOREIGN.format(kind="group", id="concat('GROUP ', cast(s_suppkey as varchar(10)))", view="fx_station", step=4),
+    """select 'link', origin, case link_time % 5 when 0 then 'unknown key' when 1 then 'mode' when 2 then 'start_time' else 'end_date' end, count(*)
+  from fx_link where link_time % 5 < 4 group by 2, 3""",
+    """select 'interchange', crs3, case s_suppkey % 3 when 0 then 'not five fields' else 'minimum_interchange_time' end, count(*)
+  from fx_station where s_suppkey % 3 < 2 group by 2, 3"""]))
+def _(t: Tables) -> DataFrame:
+    """What a permissive load finds wrong in records of every layout, each checked field spoiled in turn."""
+    trains = read_timetable(t.spark, text.spoiled_timetable_text(t), mode="permissive").tables()
+    places = read_stations(t.spark, text.spoiled_station_text(t), mode="permissive").tables()
+    found = {
+        "schedule": (trains["basic_schedule"], "train_uid"), "origin": (trains["origin_location"], "train_uid"),
+        "intermediate": (trains["intermediate_location"], "train_uid"), "terminating": (trains["terminating_location"], "train_uid"),
+        "change": (trains["changes_en_route"], "train_uid"), "association": (trains["associations"], "main_train_uid"),
+        **{n: (trains[n], "tiploc_code") for n in ("tiploc_insert", "tiploc_amend", "tiploc_delete")},
+        "station": (places["station_detail"], "tiploc_code"), "alias": (places["station_alias"], "alias_name"),
+        "group": (places["routeing_groups"], "group_name"),
+        "link": (read_fixed_links(t.spark, text.spoiled_link_text(t), "permissive"), "origin"),
+        "interchange": (read_interchange(t.spark, text.spoiled_interchange_text(t), "permissive"), "station_code"),
+    }
+    rows = (quality.invalid_fields(df).select(F.lit(kind).alias("kind"), F.col(id).alias("id"), F.array_join("errors", ",").alias("errors"))
+            for kind, (df, id) in found.items())
+    return reduce(DataFrame.unionAll, rows).groupBy("kind", "id", "errors").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("duplicate_key_check", "fx_schedule_all", sql="""
 select train_uid, date_runs_from, stp_indicator, count(*) count from fx_schedule_all
 group by train_uid, date_runs_from, stp_indicator having count(*) > 1""")

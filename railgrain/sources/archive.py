@@ -28,9 +28,10 @@ def wanted_suffixes(old_naming: bool = False) -> tuple[str, ...]:
     return tuple(s.upper() for s in MEMBER_SUFFIXES) if old_naming else MEMBER_SUFFIXES
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The archives as rows of path and bytes, one file per row."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def read_archives(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    """The archives as rows of path and bytes, one file per row; ``source`` is a path or already such a table."""
+    files = spark.read.format("binaryFile").load(source) if isinstance(source, str) else source
+    return files.select("path", "content")
 
 
 def _batches(name: str, member: str, text: io.TextIOBase) -> Iterator[pd.DataFrame]:
@@ -72,14 +73,14 @@ def member_lines(archives: DataFrame, members: tuple[str, ...], by_suffix: bool
     return archives.mapInPandas(unpack, LINES)
 
 
-def stage_archives(spark: SparkSession, path: str, old_naming: bool = False,
+def stage_archives(spark: SparkSession, source: str | DataFrame, old_naming: bool = False,
                    suffixes: tuple[str, ...] | None = None) -> dict[str, str]:
     """Unpack archives to text files, one per archive and member; returns the folder of each suffix.
 
     The staged files keep their line order, so the scans can split them freely.
     """
     wanted = suffixes or wanted_suffixes(old_naming)
-    return stage_lines(member_lines(read_archives(spark, path), wanted))
+    return stage_lines(member_lines(read_archives(spark, source), wanted))
 
 
 def stage_lines(lines: DataFrame) -> dict[str, str]:

@@ -12,15 +12,16 @@ from .records import judged
 MEMBER = "RailReferences.csv"
 
 
-def read_naptan(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
-    return rail_references(read_archives(spark, path), mode)
+def read_naptan(spark: SparkSession, source: str | DataFrame, mode: str = "failfast") -> DataFrame:
+    """Stations of the archives at a path, or given as rows of path and bytes."""
+    return rail_references(read_archives(spark, source), mode)
 
 
 def rail_references(archives: DataFrame, mode: str = "failfast") -> DataFrame:
     """The first eight columns; a comma inside quotes belongs to its field.
 
     A line with fewer columns, or a grid reference that is no whole number, is a bad record.  The key is the tiploc
-    code (``quality.duplicate_keys``).
+    code, which ``load.load_into`` enforces.
     """
     lines = member_lines(archives, (MEMBER,), by_suffix=False).filter("line_no > 0")
     schema = ", ".join(f"{name} string" for name in RAIL_REFERENCE_COLUMNS)
