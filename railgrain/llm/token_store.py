@@ -8,7 +8,7 @@ while a row group's dictionary holds (bit-packed, as few bits as its ids need) a
 the long columns are delta encoded.  Row groups are about ``ROW_GROUP`` bytes and have column and page indexes, so a
 filter on the key or on local_start skips row groups and pages, and metadata is read without touching ids.
 
-``runs``: one row per run: run_, base (ids of all runs before it).  A document's place in the whole is base + local_start.
+``runs``: one row per run: run_, base (ids of all runs before it), n (its ids).  A document's place in the whole is base + local_start.
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ CACHE = 600_000
 #: Pieces of a text whose only white space is blanks and line feeds.  Every piece begins where the tokenizer's own
 #: pattern begins a new piece whatever follows or precedes, so encoding the pieces is encoding the text.
 _PIECE = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[ \n,.;:!?]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|\n| ")
-_ODD_SPACE = re.compile(r"[^\S \n]")
+#: All other white space.
+_ODD_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_ODD_ASCII = [c for c in _ODD_SPACE if c.isascii()]
 _FORMAT = {
     "parquet.block.size": str(ROW_GROUP), "parquet.page.size": str(1 << 20), "parquet.writer.version": "v2",
     "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20),
@@ -58,23 +60,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        # The tokenizer cuts these out before it looks at anything else.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<i4").tobytes() for x in found]
 
-    def ids(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self._encode([text])[0]
-        pieces = _PIECE.findall(text)
-        got = list(map(self.known.get, pieces))
-        if None in got:
-            new = list({p for p, g in zip(pieces, got, strict=True) if g is None})
-            found = dict(zip(new, self._encode(new), strict=True))
-            got = [found[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
-            if len(self.known) < CACHE:
-                self.known.update(found)
-        return b"".join(got)
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split, new = [], {}
+        for text in texts:
+            # Looking for single characters is much faster than a pattern.
+            if any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD_SPACE)) or any(t in text for t in self.added):
+                split.append(None)
+                continue
+            pieces = _PIECE.findall(text)
+            got = list(map(self.known.get, pieces))
+            try:
+                split.append(b"".join(got))
+            except TypeError:  # some piece is not known yet
+                new.update((p, None) for p, g in zip(pieces, got, strict=True) if g is None)
+                split.append((pieces, got))
+        # One call for all that is new, because a call costs as much as several pieces.
+        new = dict(zip(new, self._encode(list(new)), strict=True))
+        if len(self.known) < CACHE:
+            self.known.update(new)
+        whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))
+        out = []
+        for s in split:
+            if s is None:
+                s = next(whole)
+            elif isinstance(s, tuple):
+                s = b"".join([new[p] if g is None else g for p, g in zip(*s, strict=True)])
+            out.append(s)
+        return out
 
 
 def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str | None = None, end_id: int = END_ID) -> None:
@@ -94,7 +113,7 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
         end, before = np.array([end_id], "<i4").tobytes(), 0
         for whole in batches:
             for b in slices(whole, 1):
-                out = [encoder.ids(t) + end if t else end for t in b.column(1).to_pylist()]
+                out = [ids + end for ids in encoder.ids([t or "" for t in b.column(1).to_pylist()])]
                 n = np.array([len(x) // 4 for x in out], np.int64)
                 ends = before + np.cumsum(n)
                 ids = np.frombuffer(b"".join(out), "<i4")
@@ -108,23 +127,37 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
     save(encoded.withColumnRenamed("key_", key), f"{path}/tokens", **_FORMAT)
     lengths = spark.read.parquet(f"{path}/tokens").groupBy("run_").agg(F.sum("n_tokens").alias("n"))
     ahead = Window.orderBy("run_").rowsBetween(Window.unboundedPreceding, -1)
-    save(lengths.select("run_", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")).coalesce(1), f"{path}/runs")
+    save(lengths.select("run_", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"), "n").coalesce(1), f"{path}/runs")
 
 
 def read_tokens(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Documents of a store with ``start``; with ``first`` and ``last``, those that hold any id from first up to last.
 
-    Select the columns you need: ids are read only if they are selected.  Filters on the key reach the scan.
+    Select the columns you need: ids are read only if they are selected.  Filters on the key reach the scan.  A range is
+    first resolved on the runs, a few rows, to whole runs and places in the two runs at its ends; these are literals of
+    the scan, so files, row groups and pages beyond the range are not read.
     """
     runs = spark.read.parquet(f"{path}/runs")
+    tokens = spark.read.parquet(f"{path}/tokens")
+    if first is not None or last is not None:
+        first, last = first or 0, (1 << 62) if last is None else last
+        # As many rows as the store has files in the range.
+        held = runs.where((F.col("base") < last) & (F.col("base") + F.col("n") > first)).orderBy("run_").collect() if first < last else []
+        if not held:
+            return _placed(tokens.where("false"), runs)
+        tokens = tokens.where(F.col("run_").between(held[0]["run_"], held[-1]["run_"]))
+        begin, end = first - held[0]["base"], last - held[-1]["base"]
+        # A document that begins before the range may reach into it; it is the last that begins so early.
+        before = tokens.where((F.col("run_") == held[0]["run_"]) & (F.col("local_start") <= begin)).agg(F.max("local_start")).first()[0]
+        tokens = tokens.where((F.col("run_") > held[0]["run_"]) | (F.col("local_start") >= (before or 0)))
+        tokens = tokens.where((F.col("run_") < held[-1]["run_"]) | (F.col("local_start") < end))
+    return _placed(tokens, runs)
+
+
+def _placed(tokens: DataFrame, runs: DataFrame) -> DataFrame:
     # One row for each file of the store.
-    out = spark.read.parquet(f"{path}/tokens").join(F.broadcast(runs), "run_")
-    out = out.withColumn("start", F.col("base") + F.col("local_start"))
-    if first is not None:
-        out = out.where(F.col("start") + F.col("n_tokens") > first)
-    if last is not None:
-        out = out.where(F.col("start") < last)
-    return out.drop("run_", "base", "local_start")
+    out = tokens.join(F.broadcast(runs.drop("n")), "run_")
+    return out.withColumn("start", F.col("base") + F.col("local_start")).drop("run_", "base", "local_start")
 
 
 def with_crc32(tokens: DataFrame) -> DataFrame:

@@ -177,10 +177,14 @@ def test_pieces_encode_like_whole_texts():
     texts = ["", "  ", " a  b\n\n c", "x\n\n\ny", "a\tb  c", "don't we'll  x's\n", "é è².3 Ⅷa", "\n", " \n x", "w,foo..'s <|endoftext|> a",
              "naïve x  ", "a\x1cb c", "汉字 かな,x ", "x̂y, z!?;;  \n"]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    # Added tokens among anything, runs of blanks and line feeds around them included.
+    pieces = ["<|endoftext|>", "\n\n", "  ", " ", "\n", "a", " b", "<", "|>", "endoftext", ".", "\t", "é", "\u3000"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(5000)]
     encoder = token_store.Encoder(token_store.tokenizer_path())
     want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    for text, w in zip(texts, want):
-        assert encoder.ids(text) == np.array(w.ids, "<i4").tobytes(), text
+    for at in range(0, len(texts), 97):
+        for text, w, got in zip(texts[at:], want[at:], encoder.ids(texts[at:at + 97])):
+            assert got == np.array(w.ids, "<i4").tobytes(), text
 
 
 def test_shingle_sets():

@@ -38,6 +38,13 @@ def test_token_store_round_trip(spark, tmp_path, documents, prose):
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
     some = token_store.read_tokens(spark, path, got[3].start, got[5].start).orderBy("start").collect()
     assert [r.start for r in some] == [r.start for r in got[3:5]]
+    total = got[-1].start + got[-1].n_tokens
+    for first, last in [(0, total), (0, 1), (total - 1, total), (5, 5), (total, total + 9), *([random.Random(2).randrange(total) for _ in range(2)] for _ in range(3))]:
+        part = token_store.read_tokens(spark, path, min(first, last), max(first, last)).collect()
+        first, last = min(first, last), max(first, last)
+        assert sorted(r.start for r in part) == [r.start for r in got if first < last and r.start < last and r.start + r.n_tokens > first]
+    text = spark._jvm.PythonSQLUtils.explainString(token_store.read_tokens(spark, path, got[3].start, got[5].start)._jdf.queryExecution(), "formatted")
+    assert re.search(r"PushedFilters: .*run_,.*local_start,", text)
     crc = {r.start: r.ids_crc32 for r in token_store.with_crc32(token_store.read_tokens(spark, path)).collect()}
     assert crc == {r.start: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got}
     plan = token_store.read_tokens(spark, path).where("doc_id = 3").select("doc_id", "n_tokens")
