@@ -3,7 +3,9 @@
 A small parser turns a page into text lines (blocks) and drops what its markup names: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers.  Where a page marks its article (``article`` or
 ``main``), the lines are those inside it.  Lines are compared with those of the nearest different page in URL order on the
-same host, lines of articles with lines of articles: a longest common subsequence aligns the two, and shared lines go.  Pages with the same lines are one in that order.  A page that has nearly all of another's own lines, those
+same host, lines of articles with lines of articles: a longest common subsequence aligns the two, and shared lines go;
+of a marked article, only those that are common on the host (on a quarter of its different pages, and on three) and no
+headings, because two articles may well say the same.  Pages with the same lines are one in that order.  A page that has nearly all of another's own lines, those
 that are not common on the host, is a copy too and says nothing about its frame; the search then goes on further away.
 
 Only hashes of lines travel to neighbours.  The order is a range sort over all hosts and a join on the place in it, so a
@@ -39,6 +41,7 @@ _DROP = frozenset("aside button canvas dialog footer form head iframe menu nav n
                   "template textarea title".split())
 _RAW = frozenset("script style textarea title".split())
 _ARTICLE = frozenset(("article", "main"))
+_HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",)), "tr": ("tr", ("table",)),
            "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
 _NAMES = ("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner cookie "
@@ -75,9 +78,15 @@ def _dropped(tag: str, attributes: str, inside: bool) -> bool:
 
 def lines_of(page: str) -> tuple[list[str], bool]:
     """Text lines of a page without what the markup names as frame, and whether they come from a marked article."""
+    lines, marked, _ = read_page(page)
+    return lines, marked
+
+
+def read_page(page: str) -> tuple[list[str], bool, list[bool]]:
+    """What :func:`lines_of` gives, and which lines are headings."""
     stack: list[tuple[str, bool, bool]] = []  # element, dropped, inside an article
-    all_lines: list[str] = []
-    article: list[str] = []
+    all_lines: list[tuple[str, bool]] = []
+    article: list[tuple[str, bool]] = []
     piece: list[str] = []
     found, raw, place = False, "", 0
 
@@ -86,9 +95,10 @@ def lines_of(page: str) -> tuple[list[str], bool]:
             line = " ".join(html.unescape("".join(piece)).split())
             piece.clear()
             if line:
-                all_lines.append(line)
+                heading = any(tag in _HEADING for tag, *_ in stack)
+                all_lines.append((line, heading))
                 if stack and stack[-1][2]:
-                    article.append(line)
+                    article.append((line, heading))
 
     def close(tag: str, stop: tuple[str, ...] = ()) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -144,7 +154,9 @@ def lines_of(page: str) -> tuple[list[str], bool]:
         if tag in _RAW:
             raw = tag
     flush()
-    return (article, True) if found and article else (all_lines, False)
+    marked = bool(found and article)
+    out = article if marked else all_lines
+    return [line for line, _ in out], marked, [heading for _, heading in out]
 
 
 def shared(a: list[int], b: list[int]) -> list[bool]:
@@ -200,12 +212,14 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
         for whole in batches:
             for b in slices(whole, 2):
                 split = [_split_url(u) for u in b.column(1).to_pylist()]
-                read = [lines_of(page or "") for page in b.column(2).to_pylist()]
-                hashes = [[xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in lines] for lines, _ in read]
+                read = [read_page(page or "") for page in b.column(2).to_pylist()]
+                # The last bit of a hash tells headings from other lines.
+                hashes = [[(xxhash.xxh3_64_intdigest(x) - (1 << 63)) & -2 | h for x, h in zip(lines, heads, strict=True)]
+                          for lines, _, heads in read]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), *(pa.array([x[i] for x in split], pa.string()) for i in (0, 1)),
-                     pa.array([x for x, _ in read], pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64())),
-                     pa.array([x for _, x in read], pa.bool_())],
+                     pa.array([x for x, *_ in read], pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64())),
+                     pa.array([x for _, x, _ in read], pa.bool_())],
                     ["key", "url", "host", "path", "lines", "hashes", "marked"])
 
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.col(source).alias("html"))
@@ -263,6 +277,8 @@ def differences(parsed: DataFrame) -> DataFrame:
                     if len(own.intersection(n["hashes2"])) > COPY * len(own) or not own and row["n_pages"] == 2:
                         continue
                     gone = shared(mine, n["hashes2"])
+                    if row["marked"]:  # what two articles share is text, unless it is common on the host and no heading
+                        gone = [g and row["n_pages"] > 2 and x not in own and not x & 1 for g, x in zip(gone, mine, strict=True)]
                     break
                 ids.append(row["sig"])
                 flags.append(gone)
@@ -276,7 +292,7 @@ def differences(parsed: DataFrame) -> DataFrame:
         asked = asked.select(*site, "sig", "path", "own", "n_pages", "hashes", "of.*")
         other = seq.select("rank", *site, F.col("path").alias("path2"), F.col("hashes").alias("hashes2"))
         pairs = asked.join(other, ["rank", *site]).groupBy("sig").agg(
-            *(F.first(c).alias(c) for c in ("path", "own", "n_pages", "hashes")),
+            *(F.first(c).alias(c) for c in ("path", "own", "n_pages", "hashes", "marked")),
             F.collect_list(F.struct("away", "after", "path2", "hashes2")).alias("near"))  # two for each distance at most
         return pairs.mapInArrow(align, "sig long, gone array<boolean>")
 

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables, nulls, empty and very long texts, ties, repeated rows and empty tables."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import pytest
 from railgrain.llm import (chat, common, components, decontaminate, hilbert, host_rules, jaccard, mixing, pages, suffix_dedup,
                            token_store, toxicity)
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
@@ -306,6 +308,26 @@ def test_marked_articles_lose_what_their_neighbours_repeat(spark):
     assert got == {i: ([f"text {i}"], 2) for i in range(5)} | {9: (["Home", "Please pay"], 0)}
 
 
+def test_marked_articles_keep_what_only_few_share(spark):
+    page = "<body><main><h1>News</h1><p>{}</p><p>{}</p></main></body>".format
+    rows = [(1, "http://two.com/1", page("a", "same end")), (2, "http://two.com/2", page("b", "same end"))]
+    rows += [(10 + i, f"http://ten.com/{i}", page(f"text {i}", "same end" if i in (4, 5) else f"end {i}")) for i in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all(r.n_shared == 0 and r.lines[0] == "News" and len(r.lines) == 3 for r in pages.extract(df).collect())
+
+
+def test_no_heading_or_rare_line_of_a_given_article_goes(spark):
+    df = common.table(spark, SF_DIR, "pages")
+    read = {r.page_id: (pages._split_url(r.url)[0], *pages.read_page(r.html or "")) for r in df.collect()}
+    different = {(host, tuple(lines)) for host, lines, marked, _ in read.values() if marked}
+    on = Counter((host, x) for host, lines in different for x in set(lines))
+    for r in pages.extract(df).collect():
+        host, lines, marked, headings = read[r.page_id]
+        left = Counter(lines) - Counter(r.lines)
+        assert not Counter(r.lines) - Counter(lines) and len(lines) - len(r.lines) == r.n_shared
+        assert not marked or all(on[host, x] >= 3 for x in left) and not left & Counter(x for x, h in zip(lines, headings) if h)
+
+
 # -- 8: benchmark items ------------------------------------------------------------------------------
 
 
