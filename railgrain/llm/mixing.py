@@ -165,12 +165,17 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", seed: int
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", seed: int = 0) -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as the mix takes it."""
-    held = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(source).alias("source"),
+    """The rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Rows of one key, source and text take their copies in the order of a hash of all their columns, so reruns agree.
+    """
+    # Maps have no hash.
+    every = [F.to_json(F.col(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    held = docs.select(F.struct("*").alias("row"), F.xxhash64(*every).alias("all"), F.col(key).alias("key"), F.col(source).alias("source"),
                        n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
-    held = held.select("row", "key", "source", "size", *_ids("key", "source", "size", "tie"))
-    units = unit_copies(held.drop("row"), seed).select("u", "v", "m", "copies")
-    numbered = held.select("row", "u", "v", (F.row_number().over(Window.partitionBy("u", "v").orderBy("u")) - 1).alias("n"))
+    held = held.select("row", "all", "key", "source", "size", *_ids("key", "source", "size", "tie"))
+    units = unit_copies(held.drop("row", "all"), seed).select("u", "v", "m", "copies")
+    numbered = held.select("row", "u", "v", (F.row_number().over(Window.partitionBy("u", "v").orderBy("all")) - 1).alias("n"))
     taken = numbered.join(units.where("copies > 0"), ["u", "v"]).withColumn("k", _share(F.col("n")).cast("int"))
     return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("k"))).alias("x")).select("row.*")
 

@@ -451,6 +451,15 @@ def test_mix_meets_its_targets(spark, documents, prose):
     assert mixing.mix(docs.where("false")).count() == mixing.mixed(docs.where("false")).count() == 0
 
 
+def test_mixed_rows_are_the_same_again(spark):
+    rows = [(1, "one text of some words", "a", i, {"k": i}) for i in range(40)] + [(2, "more words here " * 40, "b", 0, None)]
+    runs = []
+    for n in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other long, more map<string,int>").repartition(n)
+        runs.append(Counter((r.doc_id, r.other) for r in mixing.mixed(docs).collect()))
+    assert runs[0] == runs[1] and runs[0]
+
+
 def test_rounding_keeps_means(spark):
     units = spark.range(300).selectExpr("id as u", "-id as v", "'s' as source", "cast(5 + id % 7 as double) as s", "0.3d as p")
     taken = [sum(r.copy for r in mixing.round_copies(units, seed).collect()) for seed in range(3)]
