@@ -5,7 +5,9 @@ Two sets with 0.8 or more in common share shingles among the first of each, what
 Order 1 is by hash.  A set's first n - ceil(0.8 n) + t shingles are read, of which two linked sets share t; t is larger for
 short texts.  It costs no statistics, and shingles that no other set has among its first are dropped without a pair being made.
 Order 2 is by frequency among those, rarest first: of them, only so many are looked up that one of the t is among them, so a
-passage that many documents hold is looked up by documents that consist of little else.
+passage that many documents hold is looked up by documents that consist of little else.  There each shingle carries how many
+of its set's common shingles stand from it on.  At the first shingle that two sets share, both must have as many left as their
+sizes ask for, so a pair whose sets meet too late under order 2 is never made.
 Order 3 and 4 are two more hash orders, in which each candidate pair must share a first shingle too before its sets are compared.
 
 Pairs within a group are not all made.  Equal sets are one class from the start.  Then each shingle's sets are compared with
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lists, lower_ascii, mix, slices, span_hashes, table, text_bytes, word_spans, written
@@ -83,7 +85,10 @@ def _need(n: int) -> int:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """x1, x2 (the text), n, s1, s2 (the set), first (its first shingles under order 1) for rows of doc, text, x1, x2."""
+    """x1, x2 (the text), n, need, unread, s1, s2 (the set), first (its first shingles under order 1) for rows of doc, text, x1, x2.
+
+    ``unread`` is how many shingles of the set are not among ``first``.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -91,17 +96,18 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(*text_bytes(b.column(0)))
                 n = np.array([len(s) for s in sets], np.int64)
                 need = np.array([_need(len(s)) for s in sets], np.int64)
+                unread = np.array([len(s) - _first(len(s)) for s in sets], np.int64)
                 keys = np.array([[mix(s ^ k).sum() for k in _ORDERS] for s in sets], np.uint64).reshape(-1, 2)
                 first = [s[:_first(len(s))] for s in sets]
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in first])])
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[1:], pa.array(n), pa.array(need), pa.array(keys[:, 0].view(np.int64) if len(keys) else [], pa.int64()),
+                    [*b.columns[1:], pa.array(n), pa.array(need), pa.array(unread), pa.array(keys[:, 0].view(np.int64) if len(keys) else [], pa.int64()),
                      pa.array(np.ascontiguousarray(keys[:, 1]).view(np.int64)),
-                     lists(np.concatenate(first).view(np.int64), starts)], ["doc", "x1", "x2", "n", "need", "s1", "s2", "first"])
+                     lists(np.concatenate(first).view(np.int64), starts)], ["doc", "x1", "x2", "n", "need", "unread", "s1", "s2", "first"])
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("text", "doc", "x1", "x2").mapInArrow(
-        read, f"doc {kind}, x1 long, x2 long, n long, need long, s1 long, s2 long, first array<long>")
+        read, f"doc {kind}, x1 long, x2 long, n long, need long, unread long, s1 long, s2 long, first array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -152,19 +158,41 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
-    """(shingle, rep, n): the shingles each class is looked up by, under orders 1 and 2, where two classes share one."""
-    each = signatures.where("n > 0").select("row", "n", "need", F.explode("first").alias("shingle"))
+    """(shingle, rep, n, unread, left): the shingles each class is looked up by, under orders 1 and 2, where two classes share one.
+
+    ``left`` counts the class's common shingles from this one on, itself included, in order 2.
+    """
+    each = signatures.where("n > 0").select("row", F.explode("first").alias("shingle"))
     seen = written(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
-    common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row", "n", "need").agg(
-        F.collect_list(F.struct("df", "shingle")).alias("common"))  # no more than the set's own first shingles
-    ranked = common.where("size(common) >= need")
-    ranked = ranked.withColumn("common", F.slice(F.sort_array("common"), 1, (F.size("common") - F.col("need") + 1).cast("int")))
-    ranked = ranked.join(reps.select(F.col("rep").alias("row")), "row")
-    out = written(ranked.select(F.col("row").alias("rep"), "n", F.explode("common.shingle").alias("shingle")), "ranked")
+    common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))  # no more than the set's own first shingles
+    sizes = signatures.join(reps.select(F.col("rep").alias("row")), "row").select("row", "n", "need", "unread")
+    ranked = common.join(sizes, "row").where("size(common) >= need")
+    last = (F.size("common") - F.col("need") + 1).cast("int")
+    ranked = ranked.select(F.col("row").alias("rep"), "n", "unread", F.size("common").alias("size"),
+                           F.posexplode(F.slice("common", 1, last)).alias("nth", "one"))
+    out = written(ranked.select("rep", "n", "unread", F.col("one.shingle").alias("shingle"), F.expr("size - nth").alias("left")), "ranked")
     several = out.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1").select("shingle")
     return written(out.join(several, "shingle"), "lookups")
 
 
+def _may_link() -> Column:
+    """Whether two classes that meet at a shingle can be linked, by their sizes and by what they have left from it on.
+
+    A link needs at least (na + n) * SHARE / (100 + SHARE) shared shingles, of which at most the larger number of unread ones is
+    not among the first of both.  What else is shared stands, in both, from the first shared shingle on.
+    """
+    needed = f"(({SHARE} * (na + n) + {99 + SHARE}) div {100 + SHARE})"
+    return F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na) and "
+                  f"least(left, left_a) >= {needed} - greatest(unread, unread_a)")
+
+
+def _asking(lookups: DataFrame, *more: Column) -> DataFrame:
+    """Lookups as the first side of pairs."""
+    return lookups.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("unread").alias("unread_a"),
+                          F.col("left").alias("left_a"), *more)
+
+
 def _text_ids(text) -> list:
     return [F.xxhash64(text).alias("x1"), F.xxhash64(F.lit(7), text).alias("x2")]
 
@@ -187,9 +215,8 @@ def all_links(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFram
     as it has links.
     """
     rows, signatures, members, classes, lookups = _prepared(docs, key)
-    mine = lookups.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"))
-    pairs = mine.join(lookups.withColumnRenamed("rep", "b"), "shingle").where("a < b")
-    pairs = pairs.where(F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na)")).select("a", "b").distinct()
+    pairs = _asking(lookups).join(lookups.withColumnRenamed("rep", "b"), "shingle").where("a < b")
+    pairs = pairs.where(_may_link()).select("a", "b").distinct()
     pairs = written(pairs.withColumn("to", F.lit(0).cast("long")), "pairs")
     links = written(_links(pairs, _lookup_sets(rows, signatures, lookups)).drop("to"), "links")
     held = members.join(classes, ["s1", "s2", "n"], "left")
@@ -245,13 +272,13 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         if not size["rows"]:
             break
         last = turn == ROUNDS or size["pairs"] <= FEW * size["rows"]
-        mine = labelled.select("shingle", F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
+        mine = _asking(labelled, F.col("label").alias("la"))
         if not last:
-            lead = mine.groupBy("shingle").agg(F.min(F.struct("la", "a", "na")).alias("l")).select("shingle", "l.*")
+            lead = mine.groupBy("shingle").agg(F.min(F.struct("la", "a", "na", "unread_a", "left_a")).alias("l")).select("shingle", "l.*")
             pairs = lead.join(labelled, "shingle").where("label <> la")
         else:
             pairs = mine.join(labelled, "shingle").where("a < rep and label <> la")
-        pairs = pairs.where(F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na)"))
+        pairs = pairs.where(_may_link())
         pairs = pairs.groupBy(F.col("rep").alias("a"), F.col("a").alias("b")).agg(F.min("la").alias("to"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
