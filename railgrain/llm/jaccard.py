@@ -11,8 +11,9 @@ sizes ask for, so a pair whose sets meet too late under order 2 is never made.
 Order 3 and 4 are two more hash orders, in which each candidate pair must share a first shingle too before its sets are compared.
 
 Pairs within a group are not all made.  Equal sets are one class from the start.  Then each shingle's sets are compared with
-one of them, what links becomes one component, and only shingles with several components left go on, until all remaining
-pairs across components are few enough to be compared outright.  No link that joins components is lost.
+one of them, drawn anew for each of a few kinds of shingles and each round, so a group is compared with a few of its members.
+What links becomes one component, and only shingles with several components left go on, until no link is found this way or all
+remaining pairs across components are few enough.  These are compared outright.  No link that joins components is lost.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ WORDS = 5
 SHORT = 160
 #: A link: 100 * intersection >= SHARE * union.
 SHARE = 80
-#: Rounds against one set of each group, at most, before all remaining pairs are made.
-ROUNDS = 4
+#: Rounds against one set of each shingle, at most, before all remaining pairs are made.
+ROUNDS = 2
+#: Kinds of shingles, each of which draws the sets to compare with by a hash of its own.
+DRAWS = 4
 #: All remaining pairs are made as soon as there are no more than this many for each looked-up shingle.
 FEW = 8
 
@@ -261,7 +264,7 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
     spark = docs.sparkSession
     edges = spark.createDataFrame([], "u long, v long")
     labelled = lookups.withColumn("label", F.col("rep"))
-    done = None  # pairs compared so far
+    done, stuck = None, False  # pairs compared so far; whether the last round found no link
     for turn in range(ROUNDS + 1):
         # Shingles that several components are still looked up by.
         by = labelled.groupBy("shingle", "label").agg(F.count("*").alias("c"))
@@ -271,10 +274,12 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         size = open_.agg(F.sum("c").alias("rows"), (F.sum(F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs")).first()
         if not size["rows"]:
             break
-        last = turn == ROUNDS or size["pairs"] <= FEW * size["rows"]
+        last = stuck or turn == ROUNDS or size["pairs"] <= FEW * size["rows"]
         mine = _asking(labelled, F.col("label").alias("la"))
         if not last:
-            lead = mine.groupBy("shingle").agg(F.min(F.struct("la", "a", "na", "unread_a", "left_a")).alias("l")).select("shingle", "l.*")
+            draw = F.xxhash64("a", F.pmod("shingle", F.lit(DRAWS)), F.lit(turn)).alias("draw")
+            lead = mine.groupBy("shingle").agg(F.min(F.struct(draw, "la", "a", "na", "unread_a", "left_a")).alias("l"))
+            lead = lead.select("shingle", "l.*").drop("draw")
             pairs = lead.join(labelled, "shingle").where("label <> la")
         else:
             pairs = mine.join(labelled, "shingle").where("a < rep and label <> la")
@@ -289,6 +294,9 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
             break
         both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         done = both if done is None else done.unionByName(both)
+        stuck = found.isEmpty()
+        if stuck:
+            continue
         # Whole components, or members of one would meet again under several labels.
         labels = components(edges).withColumnRenamed("node", "rep")
         labelled = labelled.drop("label").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
