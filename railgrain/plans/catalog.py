@@ -610,6 +610,22 @@ def _(t: Tables) -> DataFrame:
     return schedule.schedules_on(t.schedules(), [DATE])
 
 
+_YEAR = [dt.date(1998, 1, 1) + dt.timedelta(days=i) for i in range(365)]
+
+
+@query("service_days", "fx_schedule", sql="""
+select train_uid, date_runs_from, stp_indicator, count(*) n_days, min(d) first_day, max(d) last_day from (
+  select s.*, d, min(stp_indicator) over (partition by train_uid, d) lowest
+  from fx_schedule s join (select cast(date '1998-01-01' + i * interval '1' day as date) d from range(365) r(i)) y
+    on d between date_runs_from and date_runs_to and substr(days_run, cast(isodow(d) as int), 1) = '1') x
+where stp_indicator = lowest group by train_uid, date_runs_from, stp_indicator""")
+def _(t: Tables) -> DataFrame:
+    on = schedule.calendar_dates("days", _YEAR)
+    count = F.aggregate("days", F.lit(0).cast("long"), lambda n, word: n + F.bit_count(word))
+    return schedule.service_calendar(t.schedules(), _YEAR).select(
+        *schedule.KEY, count.alias("n_days"), F.array_min(on).alias("first_day"), F.array_max(on).alias("last_day"))
+
+
 @query("train_timetables", "fx_schedule", "fx_stop", "fx_station", sql=f"""
 select {DAY} timetable_date, d.train_uid, d.stp_indicator, s.loc_order, s.xmidnight, s.location,
   t.station_name, s.scheduled_arrival, s.scheduled_departure, s.scheduled_pass, s.platform
