@@ -16,6 +16,7 @@ from ..operators import connections as conn
 from ..operators import isochron as iso
 from ..operators import quality, reach, schedule
 from ..operators import stations as st
+from ..operators.station_index import find_indexed, write_station_index
 from ..session import materialize, scratch_path
 from ..sources import layouts as L
 from ..sources.archive import MEMBER_SUFFIXES, member_lines, stage_lines
@@ -880,6 +881,13 @@ def _(t: Tables) -> DataFrame:
     return st.find_station(t.get("rq_name"), t.stations(), t.get("fx_alias"))
 
 
+@query("find_station_indexed", "rq_name", "fx_station", "fx_alias", sql=_FOUND.format(queries="rq_name"))
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "station-index")
+    write_station_index(t.stations(), t.get("fx_alias"), path)
+    return find_indexed(t.spark, t.get("rq_name"), path)
+
+
 # names to ask for: each request's station by code, name or part of an alias
 _ASKED = f"""select r.query_id, r.timetable_date, r.depart, case s.s_suppkey % 2
     when 0 then lower(s.tiploc_code) else lower(s.station_name) end name
