@@ -1,14 +1,16 @@
 """Shards in Hilbert order: quantise metadata, sort by the curve, cut the run into shards of equal row counts.
 
 Neighbours on the curve are neighbours in every dimension, so a file covers a small box and its column statistics let a
-reader skip it for a filter on any of the dimensions.  Quantiles come from all rows (a sketch of bounded size).  The
-sort ends with the key and hashes, so a value that holds a third of all rows is cut like any other.
+reader skip it for a filter on any of the dimensions.  Quantiles of numbers come from all rows (a sketch of bounded
+size).  Strings are cut between whole distinct values, in byte order: all of them while there are at most ``DISTINCT``, else
+the ones with the least hashes, so the cuts are the same in every run.  Each value then has a cell of its own while there
+are cells enough, and few values are spread over all cells.  The sort ends with the key and hashes, so a value that
+holds a third of all rows is cut like any other.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from .common import parts, save, table
 SHARDS = 24
 #: Bits for each dimension: 2 ** BITS quantiles.
 BITS = 5
+#: Distinct values of a string dimension that its cuts are chosen from, at most; every row is placed by them.
+DISTINCT = 4_096
 OWN = ("shard", "slot_", "curve_", "run_", "place_", "base_", "total_", "rank_", "shard_", "length_")
 
 
@@ -49,33 +53,53 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _number(df: DataFrame, column: str) -> Column:
-    """An order-preserving number of a column: strings by their first six bytes."""
+def _is_number(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType))
+
+
+def _value(df: DataFrame, column: str) -> Column:
+    """An order-preserving number of a numeric or time column, the bytes of any other."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.NumericType):
         return F.col(column).cast("double")
     if isinstance(kind, (T.DateType, T.TimestampType)):
         return F.col(column).cast("timestamp").cast("double")
-    first = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
-    return F.conv(first, 16, 10).cast("double")
+    return F.col(column) if isinstance(kind, T.BinaryType) else F.col(column).cast("string").cast("binary")
+
+
+def _byte_cuts(df: DataFrame, column: str, cells: int) -> list[bytes]:
+    """At most ``cells`` - 1 values that cut the distinct values of a column evenly."""
+    values = df.select(_value(df, column).alias("v")).where("v is not null").groupBy("v").count()
+    some = sorted(bytes(r.v) for r in values.orderBy(F.xxhash64("v"), "v").select("v").limit(DISTINCT).collect())
+    return [some[i] for i in sorted({k * len(some) // cells for k in range(1, cells)}) if i]
 
 
 def with_curve(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """``df`` with ``curve_``, the place on the Hilbert curve; nulls of a dimension lie below all values."""
-    numbers = [_number(df, d) for d in dims]
-    share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*(F.percentile_approx(x, share, 10_000).alias(f"q{i}") for i, x in enumerate(numbers))).first()
-    cuts = [np.unique(np.asarray(c or [], float)) for c in cuts]  # a constant number of quantiles
+    """``df`` with ``curve_``, the place on the Hilbert curve; nulls of a dimension lie with the lowest values."""
+    cells = 1 << bits
+    numeric = [d for d in dims if _is_number(df, d)]
+    share = [i / cells for i in range(1, cells)]
+    found = df.agg(F.lit(0), *(F.percentile_approx(_value(df, d), share, 10_000) for d in numeric)).first()[1:]
+    by_name = {d: np.unique(np.asarray(c or [], float)) for d, c in zip(numeric, found, strict=True)}
+    cuts = [by_name[d] if d in by_name else _byte_cuts(df, d, cells) for d in dims]  # a constant number of quantiles
 
     @F.pandas_udf("bigint")
     def place(*columns):
+        import bisect
+
         import pandas as pd
 
-        cells = [np.where(pd.isna(c), 0, np.searchsorted(q, c.to_numpy(float, na_value=-np.inf), side="right"))
-                 for c, q in zip(columns, cuts, strict=True)]
-        return pd.Series(hilbert_index(np.stack(cells, 1), bits))
+        def cell(column, cut):
+            if isinstance(cut, np.ndarray):
+                return np.where(pd.isna(column), 0, np.searchsorted(cut, column.to_numpy(float, na_value=-np.inf), side="right"))
+            code, values = pd.factorize(column)
+            return np.array([bisect.bisect_right(cut, bytes(v)) for v in values] + [0], np.int64)[code]  # -1, a null, is the last
+
+        # Few values are spread over all cells, or the curve would run along the other dimensions alone.
+        points = [cell(column, cut) * cells // (len(cut) + 1) for column, cut in zip(columns, cuts, strict=True)]
+        return pd.Series(hilbert_index(np.stack(points, 1), bits))
 
-    return df.withColumn("curve_", place(*numbers))
+    return df.withColumn("curve_", place(*(_value(df, d) for d in dims)))
 
 
 def write_shards(df: DataFrame, dims: list[str], tie: list[str], path: str, n_shards: int = SHARDS) -> None:

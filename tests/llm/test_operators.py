@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from railgrain.llm import (chat, common, components, decontaminate, hilbert, host_rules, jaccard, mixing, pages, suffix_dedup,
                            token_store, toxicity)
@@ -236,6 +237,38 @@ def test_shards_hold_every_row_once(spark, tmp_path, documents, prose):
     assert [r.curve_ for r in ordered] == sorted(r.curve_ for r in rows)
 
 
+def test_strings_with_one_beginning_have_cells_of_their_own(spark):
+    hosts = [f"https://common-crawl.example/{i}" for i in range(8)] + ["é", "e", ""]
+    rows = [(h, float(n)) for h in hosts for n in range(64)] + [(hosts[0], 1.0)] * 500 + [(None, 3.0), (hosts[1], None)]
+    df = spark.createDataFrame(rows, "host string, n double")
+    assert [c.decode() for c in hilbert._byte_cuts(df, "host", 32)] == sorted(hosts, key=str.encode)[1:]
+    alone = hilbert.with_curve(df, ["host"]).select("host", "curve_").distinct().where("host is not null").collect()
+    assert [r.host for r in sorted(alone, key=lambda r: r.curve_)] == sorted(hosts, key=str.encode)
+    assert len({r.curve_ for r in alone}) == len(hosts)
+    assert hilbert._byte_cuts(df.where("false"), "host", 32) == [] and hilbert.with_curve(df.where("false"), ["host", "n"]).count() == 0
+
+
+def test_cuts_of_many_values_are_even_and_the_same(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "DISTINCT", 500)
+    df = spark.range(5000).selectExpr("concat('prefix-of-all/', lpad(id, 6, '0')) as path", "id % 2 = 0 as flag")
+    cuts = hilbert._byte_cuts(df, "path", 32)
+    assert len(cuts) == 31 and cuts == hilbert._byte_cuts(df.repartition(7, "path"), "path", 32)
+    cells = [r["count"] for r in hilbert.with_curve(df, ["path"]).groupBy("curve_").count().collect()]
+    assert len(cells) == 32 and max(cells) < 3 * 5000 / 32
+    assert hilbert.with_curve(df, ["path", "flag"]).select("curve_").distinct().count() == 64
+
+
+def test_file_statistics_prune_by_either_dimension(spark, tmp_path):
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('common-crawl-', id % 8) as source", "(id * 7919) % 6000 as n_chars")
+    path = str(tmp_path / "s")
+    hilbert.write_shards(docs, ["source", "n_chars"], ["doc_id"], path, 24)
+    box = hilbert.read_shards(spark, path, docs.schema).groupBy("shard").agg(
+        F.min("source").alias("a"), F.max("source").alias("b"), F.min("n_chars").alias("c"), F.max("n_chars").alias("d")).collect()
+    by_source = [sum(r.a <= f"common-crawl-{i}" <= r.b for r in box) for i in range(8)]
+    by_size = [sum(r.c <= n <= r.d for r in box) for n in range(0, 6000, 100)]
+    assert max(by_source) <= 12 and sum(by_size) / len(by_size) <= 12
+
+
 # -- 6: chats ----------------------------------------------------------------------------------------
 
 
