@@ -18,27 +18,34 @@ SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def save(df: DataFrame, path: str, by: tuple[str, ...] = (), **options: str) -> None:
-    """Write ``df`` once as parquet, in folders by ``by``; its shuffle files go as soon as it is written."""
+def save(df: DataFrame, path: str, by: tuple[str, ...] = (), rows: int | None = None, **options: str) -> None:
+    """Write ``df`` once as parquet, in folders by ``by``; its shuffle files go as soon as it is written.
+
+    Functions on Arrow batches get at most ``rows`` rows at once, if given.
+    """
     spark = df.sparkSession
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
+    held = {_CLEANUP: "true"} | ({_BATCH: str(rows)} if rows else {})
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
     try:
         df.write.options(**{"compression": "zstd"} | options).partitionBy(*by).parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: a cut lineage of which no executor holds the only copy."""
     path = scratch_path(df.sparkSession, label)
-    save(df, path)
+    save(df, path, rows=rows)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

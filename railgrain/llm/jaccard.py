@@ -7,7 +7,8 @@ short texts.  It costs no statistics, and shingles that no other set has among i
 Order 2 is by frequency among those, rarest first: of them, only so many are looked up that one of the t is among them, so a
 passage that many documents hold is looked up by documents that consist of little else.  There each shingle carries how many
 of its set's common shingles stand from it on.  At the first shingle that two sets share, both must have as many left as their
-sizes ask for, so a pair whose sets meet too late under order 2 is never made.
+sizes ask for, so a pair whose sets meet too late under order 2 is never made.  It carries 256 parities of its set, too:
+two sets differ in as many shingles as parities at least, so a pair that differs in too many for a link is never made either.
 Order 3 and 4 are two more hash orders, in which each candidate pair must share a first shingle too before its sets are compared.
 
 Pairs within a group are not all made.  Equal sets are one class from the start.  Then each shingle's sets are compared with
@@ -40,7 +41,13 @@ DRAWS = 4
 #: All remaining pairs are made as soon as there are no more than this many for each looked-up shingle.
 FEW = 8
 
+#: Pairs a worker gets at once; each holds two whole sets, which can have eight bytes for every word of a long text.
+PAIRS = 200
+#: Names of the parities of a set, 64 in each.
+_PARITIES = ("p0", "p1", "p2", "p3")
+
 _ORDERS = tuple(np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25))
+_KINDS = np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -66,6 +73,14 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """256 bits a set, as four 64-bit numbers: for each of 256 kinds of shingles, whether the set has an odd number of them."""
+    kind = mix(np.concatenate([*sets, np.empty(0, np.uint64)]) ^ _KINDS) >> np.uint64(56)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = np.bincount(row * 256 + kind.astype(np.int64), minlength=256 * len(sets)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, len(_PARITIES))
+
+
 def _overlap(n):
     """Shingles that a set of n shares with any set it is linked to, at least."""
     return -(-SHARE * n // 100)
@@ -88,7 +103,7 @@ def _need(n: int) -> int:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """x1, x2 (the text), n, need, unread, s1, s2 (the set), first (its first shingles under order 1) for rows of doc, text, x1, x2.
+    """x1, x2 (the text), n, need, unread, s1, s2 (the set), its parities, first (its first shingles under order 1) for rows of doc, text, x1, x2.
 
     ``unread`` is how many shingles of the set are not among ``first``.
     """
@@ -101,16 +116,19 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 need = np.array([_need(len(s)) for s in sets], np.int64)
                 unread = np.array([len(s) - _first(len(s)) for s in sets], np.int64)
                 keys = np.array([[mix(s ^ k).sum() for k in _ORDERS] for s in sets], np.uint64).reshape(-1, 2)
+                odd = parities(sets)
                 first = [s[:_first(len(s))] for s in sets]
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in first])])
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[1:], pa.array(n), pa.array(need), pa.array(unread), pa.array(keys[:, 0].view(np.int64) if len(keys) else [], pa.int64()),
-                     pa.array(np.ascontiguousarray(keys[:, 1]).view(np.int64)),
-                     lists(np.concatenate(first).view(np.int64), starts)], ["doc", "x1", "x2", "n", "need", "unread", "s1", "s2", "first"])
+                     pa.array(np.ascontiguousarray(keys[:, 1]).view(np.int64)), *(pa.array(odd[:, i]) for i in range(len(_PARITIES))),
+                     lists(np.concatenate(first).view(np.int64), starts)],
+                    ["doc", "x1", "x2", "n", "need", "unread", "s1", "s2", *_PARITIES, "first"])
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("text", "doc", "x1", "x2").mapInArrow(
-        read, f"doc {kind}, x1 long, x2 long, n long, need long, unread long, s1 long, s2 long, first array<long>")
+        read, f"doc {kind}, x1 long, x2 long, n long, need long, unread long, s1 long, s2 long, "
+              f"{', '.join(f'{p} long' for p in _PARITIES)}, first array<long>")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -161,7 +179,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
-    """(shingle, rep, n, unread, left): the shingles each class is looked up by, under orders 1 and 2, where two classes share one.
+    """(shingle, rep, n, unread, left, parities): the shingles each class is looked up by, under orders 1 and 2, where two classes share one.
 
     ``left`` counts the class's common shingles from this one on, itself included, in order 2.
     """
@@ -169,31 +187,33 @@ def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
     seen = written(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))  # no more than the set's own first shingles
-    sizes = signatures.join(reps.select(F.col("rep").alias("row")), "row").select("row", "n", "need", "unread")
+    sizes = signatures.join(reps.select(F.col("rep").alias("row")), "row").select("row", "n", "need", "unread", *_PARITIES)
     ranked = common.join(sizes, "row").where("size(common) >= need")
     last = (F.size("common") - F.col("need") + 1).cast("int")
-    ranked = ranked.select(F.col("row").alias("rep"), "n", "unread", F.size("common").alias("size"),
+    ranked = ranked.select(F.col("row").alias("rep"), "n", "unread", *_PARITIES, F.size("common").alias("size"),
                            F.posexplode(F.slice("common", 1, last)).alias("nth", "one"))
-    out = written(ranked.select("rep", "n", "unread", F.col("one.shingle").alias("shingle"), F.expr("size - nth").alias("left")), "ranked")
+    out = written(ranked.select("rep", "n", "unread", F.col("one.shingle").alias("shingle"), F.expr("size - nth").alias("left"), *_PARITIES), "ranked")
     several = out.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1").select("shingle")
     return written(out.join(several, "shingle"), "lookups")
 
 
 def _may_link() -> Column:
-    """Whether two classes that meet at a shingle can be linked, by their sizes and by what they have left from it on.
+    """Whether two classes that meet at a shingle can be linked, by their sizes, their parities and what they have left from it on.
 
     A link needs at least (na + n) * SHARE / (100 + SHARE) shared shingles, of which at most the larger number of unread ones is
-    not among the first of both.  What else is shared stands, in both, from the first shared shingle on.
+    not among the first of both.  What else is shared stands, in both, from the first shared shingle on.  All but the shared
+    ones are in one set alone; where parities differ, there is at least one of these.
     """
     needed = f"(({SHARE} * (na + n) + {99 + SHARE}) div {100 + SHARE})"
-    return F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na) and "
+    differ = " + ".join(f"bit_count({p} ^ {p}_a)" for p in _PARITIES)
+    return F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na) and {differ} <= na + n - 2 * {needed} and "
                   f"least(left, left_a) >= {needed} - greatest(unread, unread_a)")
 
 
 def _asking(lookups: DataFrame, *more: Column) -> DataFrame:
     """Lookups as the first side of pairs."""
     return lookups.select("shingle", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("unread").alias("unread_a"),
-                          F.col("left").alias("left_a"), *more)
+                          F.col("left").alias("left_a"), *(F.col(p).alias(f"{p}_a") for p in _PARITIES), *more)
 
 
 def _text_ids(text) -> list:
@@ -221,7 +241,7 @@ def all_links(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFram
     pairs = _asking(lookups).join(lookups.withColumnRenamed("rep", "b"), "shingle").where("a < b")
     pairs = pairs.where(_may_link()).select("a", "b").distinct()
     pairs = written(pairs.withColumn("to", F.lit(0).cast("long")), "pairs")
-    links = written(_links(pairs, _lookup_sets(rows, signatures, lookups)).drop("to"), "links")
+    links = written(_links(pairs, _lookup_sets(rows, signatures, lookups)).drop("to"), "links", rows=PAIRS)
     held = members.join(classes, ["s1", "s2", "n"], "left")
     return links, held.select(F.col("doc").alias(key), F.col("rep").alias("class"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
@@ -278,7 +298,8 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         mine = _asking(labelled, F.col("label").alias("la"))
         if not last:
             draw = F.xxhash64("a", F.pmod("shingle", F.lit(DRAWS)), F.lit(turn)).alias("draw")
-            lead = mine.groupBy("shingle").agg(F.min(F.struct(draw, "la", "a", "na", "unread_a", "left_a")).alias("l"))
+            lead = mine.groupBy("shingle").agg(F.min(
+                F.struct(draw, "la", "a", "na", "unread_a", "left_a", *(f"{p}_a" for p in _PARITIES))).alias("l"))
             lead = lead.select("shingle", "l.*").drop("draw")
             pairs = lead.join(labelled, "shingle").where("label <> la")
         else:
@@ -288,7 +309,7 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        found = written(_links(pairs, sets).select("a", "b"), "links")
+        found = written(_links(pairs, sets).select("a", "b"), "links", rows=PAIRS)
         edges = edges.unionByName(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if last:
             break

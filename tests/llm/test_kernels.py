@@ -237,3 +237,17 @@ def test_index_finds_the_nearest_exactly():
         assert [round(c, 9) for c in cos] == want
         assert all(abs(cosines[int(index.ids[b])] - c) < 1e-9 for b, c in zip(best, cos))
         assert Counter(index.labels[best].astype(int).tolist()) == Counter(by_id[int(index.ids[b])][1] for b in best)
+
+
+def test_parities_differ_in_no_more_kinds_than_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 3000, np.uint64)
+    sets = [np.unique(rng.choice(base, int(rng.integers(1, 900)))) for _ in range(60)] + [np.empty(0, np.uint64), base[:1]]
+    odd = jaccard.parities(sets).view(np.uint64)
+    assert odd.shape == (len(sets), 4) and not odd[60].any() and np.bitwise_count(odd[61]).sum() == 1
+    for i in range(len(sets)):
+        for j in range(i):
+            apart = len(np.setxor1d(sets[i], sets[j]))
+            found = int(np.bitwise_count(odd[i] ^ odd[j]).sum())
+            assert found <= apart and found % 2 == apart % 2
+    assert jaccard.parities([]).shape == (0, 4)

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables, nulls, empty and very long texts, ties, repeated rows and empty tables."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -116,6 +117,21 @@ def test_components_of_paths_and_stars(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("few", [jaccard.FEW, 0])
+def test_texts_of_shared_passages_make_no_pairs(spark, documents, prose, monkeypatch, few):
+    """Every shingle is common, so sets meet early in every order, but two texts share two passages of three at most."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    seen, links = [], jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda pairs, sets: seen.append(pairs.count()) or links(pairs, sets))
+    rng = random.Random(8)
+    passages = [prose(rng, 40) for _ in range(7)]
+    texts = [" ".join(x) for x in itertools.combinations(passages, 3)]
+    near = texts[0].rsplit(" ", 2)[0] + " other end"
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(documents(*texts, near)).collect()}
+    assert got == {i: i for i in range(len(texts))} | {len(texts): 0}
+    assert 1 <= sum(seen) <= 3
+
+
 def test_all_links_inside_components_too(spark, documents, prose):
     rng = random.Random(21)
     rows = odd_rows(rng, prose)
