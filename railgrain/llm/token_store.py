@@ -13,8 +13,8 @@ filter on the key or on local_start skips row groups and pages, and metadata is
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,17 +23,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import lists, once_per_process, parts, save, slices, table
+from .common import lists, once_per_process, parts, save, slices, table, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 ROW_GROUP = 32 << 20
-#: Distinct pieces of text whose ids a worker process keeps, about 150 MB; it encodes others each time it meets them.
-CACHE = 600_000
-
-#: Pieces of a text whose only white space is blanks and line feeds.  Every piece begins where the tokenizer's own
-#: pattern begins a new piece whatever follows or precedes, so encoding the pieces is encoding the text.
-_PIECE = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[ \n,.;:!?]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|\n| ")
+#: Distinct pieces of text whose ids a worker process keeps, about 80 MB; it encodes others in each slice that has them.
+CACHE = 400_000
+#: Bytes of the longest piece that is kept.
+LONGEST = 64
+#: Bytes of text that are cut and looked up together: the more there are, the more often a piece is one of them already.
+SLICE = 4 << 20
+
+_BLANK, _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_BLANK[[10, 32]] = True
+_LETTER[65:91] = _LETTER[97:123] = True
+_STOP[list(b",.;:!?")] = True
 #: All other white space.
 _ODD_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ODD_ASCII = [c for c in _ODD_SPACE if c.isascii()]
@@ -50,8 +55,44 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts without white space other than blanks and line feeds.
+
+    A piece begins where the tokenizer's own pattern begins a new one whatever follows or precedes, so encoding the pieces is
+    encoding the text: at each run of white space, at its last character if text follows, after that character if it is a
+    line feed, and after the letters (of Latin-1) that a word begins with if one of ``,.;:!?`` follows them.
+    """
+    begin = np.zeros(len(data) + 1, bool)
+    begin[ends] = True
+    new = begin[:-1]
+    blank, letter = _BLANK[data], _LETTER[data]
+    at = np.flatnonzero(data[:-1] == 0xC3)
+    at = at[(data[at + 1] != 0x97) & (data[at + 1] != 0xB7)]
+    letter[at] = letter[at + 1] = True
+
+    def back(x: np.ndarray) -> np.ndarray:
+        """``x`` of the byte in front, which is False at a text's first."""
+        out = np.zeros_like(x)
+        out[1:] = x[:-1]
+        return out & ~new
+
+    after_blank = back(blank)
+    out = new | (blank & ~after_blank)
+    word = after_blank & ~blank
+    out[:-1] |= word[1:]
+    out |= word & back(data == 10)
+    first = np.flatnonzero(letter & ~back(letter))
+    last = letter.copy()
+    last[:-1] &= ~letter[1:] | new[1:]
+    after = np.flatnonzero(last) + 1
+    after = after[(new | after_blank)[first]]
+    after = after[~begin[after]]
+    out[after[_STOP[data[after]]]] = True
+    return np.flatnonzero(out)
+
+
 class Encoder:
-    """Ids of whole texts, as little-endian bytes; pieces seen before are looked up."""
+    """Ids of whole texts; pieces seen before are looked up."""
 
     def __init__(self, path: str):
         import os
@@ -63,37 +104,50 @@ class Encoder:
         # The tokenizer cuts these out before it looks at anything else.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<i4").tobytes() for x in found]
+    def _whole(self, text: str) -> bool:
+        # Looking for single characters is much faster than a pattern.
+        return any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD_SPACE)) or any(t in text for t in self.added)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split, new = [], {}
-        for text in texts:
-            # Looking for single characters is much faster than a pattern.
-            if any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD_SPACE)) or any(t in text for t in self.added):
-                split.append(None)
-                continue
-            pieces = _PIECE.findall(text)
-            got = list(map(self.known.get, pieces))
-            try:
-                split.append(b"".join(got))
-            except TypeError:  # some piece is not known yet
-                new.update((p, None) for p, g in zip(pieces, got, strict=True) if g is None)
-                split.append((pieces, got))
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        got = list(map(self.known.get, pieces))
+        new = [i for i, g in enumerate(got) if g is None]
         # One call for all that is new, because a call costs as much as several pieces.
-        new = dict(zip(new, self._encode(list(new)), strict=True))
-        if len(self.known) < CACHE:
-            self.known.update(new)
-        whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))
-        out = []
-        for s in split:
-            if s is None:
-                s = next(whole)
-            elif isinstance(s, tuple):
-                s = b"".join([new[p] if g is None else g for p, g in zip(*s, strict=True)])
-            out.append(s)
-        return out
+        found = self.tokenizer.encode_batch_fast([pieces[i].decode() for i in new], add_special_tokens=False)
+        for i, x in zip(new, found, strict=True):
+            ids = got[i] = array("i", x.ids).tobytes()
+            if len(self.known) < CACHE and len(pieces[i]) <= LONGEST:
+                self.known[pieces[i]] = ids
+        return got
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows, one after the other, and the places where rows begin (one more than rows); nulls are empty."""
+        data, ends = text_bytes(texts)
+        starts = piece_starts(data, ends)
+        # A text that can't be cut is a piece.
+        whole = np.array([bool(t) and self._whole(t) for t in texts.to_pylist()], bool)
+        if whole.any():
+            row = np.searchsorted(ends, starts, side="right") - 1
+            starts = starts[~whole[row] | (starts == ends[row])]
+        offsets = np.append(starts, len(data))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        _, at, raw = pieces.dictionary.buffers()
+        at, raw = np.frombuffer(at, np.int64, len(pieces.dictionary) + 1).tolist(), raw.to_pybytes() if raw else b""
+        found = self._ids([raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)])
+        which, rows = pieces.indices.to_numpy(), np.searchsorted(starts, ends)
+        if end_id is not None:
+            which, rows = np.insert(which, rows[1:], len(found)), rows + np.arange(len(rows))
+            found.append(array("i", [end_id]).tobytes())
+        flat = np.frombuffer(b"".join(found), np.int32)
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(length) - length
+        n = length[which]
+        to = np.concatenate([[0], np.cumsum(n)])
+        return flat[np.repeat(begin[which] - to[:-1], n) + np.arange(to[-1])], to[rows]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        ids, at = self.encode(pa.array(texts, pa.string()))
+        return [ids[i:j].astype("<i4", copy=False).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
 def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str | None = None, end_id: int = END_ID) -> None:
@@ -110,18 +164,14 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once_per_process(f"encoder {file}", lambda: Encoder(file))
-        end, before = np.array([end_id], "<i4").tobytes(), 0
+        before = 0
         for whole in batches:
-            for b in slices(whole, 1):
-                out = [ids + end for ids in encoder.ids([t or "" for t in b.column(1).to_pylist()])]
-                n = np.array([len(x) // 4 for x in out], np.int64)
-                ends = before + np.cumsum(n)
-                ids = np.frombuffer(b"".join(out), "<i4")
+            for b in slices(whole, 1, SLICE):
+                ids, at = encoder.encode(b.column(1), end_id)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array(ends - n), pa.array(n),
-                     lists(ids, np.concatenate([[0], np.cumsum(n)]))],
+                    [b.column(0), b.column(2), pa.array(before + at[:-1]), pa.array(np.diff(at)), lists(ids, at)],
                     ["key_", "run_", "local_start", "n_tokens", "ids"])
-                before = int(ends[-1])
+                before += int(at[-1])
 
     encoded = rows.mapInArrow(encode, f"key_ {kind}, run_ int, local_start long, n_tokens long, ids array<int>")
     save(encoded.withColumnRenamed("key_", key), f"{path}/tokens", **_FORMAT)

@@ -187,6 +187,23 @@ def test_pieces_encode_like_whole_texts():
             assert got == np.array(w.ids, "<i4").tobytes(), text
 
 
+def test_texts_of_a_batch_share_lookups():
+    encoder = token_store.Encoder(token_store.tokenizer_path())
+    asked, found = [], encoder._ids
+    encoder._ids = lambda pieces: asked.append(len(pieces)) or found(pieces)
+    texts = ["so it goes, " * 500, None, "", "\n", "so it goes, é\tx", "goes, so it"] * 20
+    ids, at = encoder.encode(pa.array(texts), 0)
+    assert asked == [9] and len(at) == len(texts) + 1
+    for text, i, j in zip(texts, at[:-1], at[1:]):
+        assert ids[i:j].tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_long_pieces_are_not_kept():
+    encoder = token_store.Encoder(token_store.tokenizer_path())
+    encoder.ids(["a b\tc " + "x" * 2000, "word " + "y" * 2000])
+    assert max(map(len, encoder.known)) <= token_store.LONGEST
+
+
 def test_shingle_sets():
     texts = ["A b c d e F", "a b c d e f", "a b", "b a", "", None, " a\tb ", "x y z x y z x y z"]
     sets = jaccard.shingle_sets(*common.text_bytes(pa.array(texts)))
