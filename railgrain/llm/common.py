@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -65,6 +66,26 @@ def once_per_process(name: str, make: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keep: str = "") -> DataFrame:
+    """``df.mapInArrow`` whose tasks first drop what the worker has kept for others than ``keep``, and leave no free memory in it.
+
+    A worker serves one stage after the other, and without this holds the most that any of them needed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = vars(sys.modules.get("_railgrain_worker", types.SimpleNamespace()))
+        for name in [k for k in kept if not k.startswith("__") and k != keep]:
+            del kept[name]
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 # -- Arrow batches -----------------------------------------------------------------------------------
 
 

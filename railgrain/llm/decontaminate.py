@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, lower_latin, mix, slices, table, text_bytes, written
+from .common import _BYTE, lower_latin, mapped, mix, slices, table, text_bytes, written
 
 #: Edits per character of an item up to which it counts as found.
 RATE = 0.08
@@ -237,7 +237,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                  pa.array(walks, pa.bool_())], ["item", "norm", "keys", "walks"])
 
     kind = wanted.schema["item"].dataType.simpleString()
-    known = written(wanted.mapInArrow(prepare, f"item {kind}, norm binary, keys array<long>, walks boolean")
+    known = written(mapped(wanted, prepare, f"item {kind}, norm binary, keys array<long>, walks boolean")
                     .withColumn("no", F.monotonically_increasing_id()), "items")
     sizes = known.select(F.length("norm"), "walks").distinct().collect()  # item lengths, not items
     word_sizes = sorted({n for n, _ in sizes if not edits(n)})
@@ -258,7 +258,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
 
     # Bitmaps of 2 ** 23 and 2 ** 24 bits, whatever the size of the benchmark.
     gram_bits = {q: np.zeros(1 << _GRAM_BITS, bool) for q in used}
-    for r in known.select("norm").where(F.length("norm") >= _NO_EDIT).mapInArrow(grams, "q int, bit long").distinct().collect():
+    for r in mapped(known.select("norm").where(F.length("norm") >= _NO_EDIT), grams, "q int, bit long").distinct().collect():
         gram_bits[r["q"]][r["bit"]] = True
     item_keys = written(known.select("no", F.explode(F.array_distinct("keys")).alias("key")), "item_keys")
     key_bits = np.zeros(1 << _KEY_BITS, bool)
@@ -345,7 +345,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
     doc_kind = rows.schema["doc"].dataType.simpleString()
     # A row of ``docs`` may have several stretches; ``row`` tells rows apart that share a key.
     rows = rows.withColumn("doc", F.struct(F.monotonically_increasing_id().alias("row"), "doc"))
-    found = rows.mapInArrow(stretches, f"doc struct<row:bigint,doc:{doc_kind}>, piece binary, place long, keys array<long>")
+    found = mapped(rows, stretches, f"doc struct<row:bigint,doc:{doc_kind}>, piece binary, place long, keys array<long>")
     found = written(found.withColumn("id", F.monotonically_increasing_id()), "stretches")
     pairs = found.select("id", F.explode("keys").alias("key")).join(item_keys, "key").select("id", "no").distinct()
     pairs = pairs.join(found.select("id", "doc", "piece", "place"), "id").join(known.select("no", "item", "norm"), "no")
@@ -372,7 +372,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str
                 [b.column(0).take(picked), b.column(4).take(picked), b.column(5).take(picked),
                  *(pa.array([x[c] for x in out], pa.int64()) for c in range(3))], ["doc", "no", "item", "distance", "start", "end"])
 
-    checked = pairs.select("doc", "piece", "place", "norm", "no", "item").mapInArrow(
+    checked = mapped(
+        pairs.select("doc", "piece", "place", "norm", "no", "item"),
         verify, f"doc struct<row:bigint,doc:{doc_kind}>, no long, item {kind}, distance long, start long, end long")
     best = checked.groupBy("doc", "no").agg(
         F.first("item").alias("item"), F.min(F.struct("distance", "start", "end")).alias("b"))

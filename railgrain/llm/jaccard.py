@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lists, lower_ascii, mix, slices, span_hashes, table, text_bytes, word_spans, written
+from .common import lists, lower_ascii, mapped, mix, slices, span_hashes, table, text_bytes, word_spans, written
 from .components import components
 
 WORDS = 5
@@ -126,8 +126,8 @@ def _signatures(docs: DataFrame) -> DataFrame:
                     ["doc", "x1", "x2", "n", "need", "unread", "s1", "s2", *_PARITIES, "first"])
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.select("text", "doc", "x1", "x2").mapInArrow(
-        read, f"doc {kind}, x1 long, x2 long, n long, need long, unread long, s1 long, s2 long, "
+    return mapped(
+        docs.select("text", "doc", "x1", "x2"), read, f"doc {kind}, x1 long, x2 long, n long, need long, unread long, s1 long, s2 long, "
               f"{', '.join(f'{p} long' for p in _PARITIES)}, first array<long>")
 
 
@@ -141,7 +141,7 @@ def _sets(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"])
 
-    return texts.select("text", "rep").mapInArrow(read, "rep long, shingles binary")
+    return mapped(texts.select("text", "rep"), read, "rep long, shingles binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -175,7 +175,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(on, pa.int64())) for c in range(3)), pa.array(both[on]),
                                               pa.array(union[on])], ["a", "b", "to", "intersection", "union"])
 
-    return held.select("a", "b", "to", "sa", "sb").mapInArrow(check, "a long, b long, to long, intersection long, union long")
+    return mapped(held.select("a", "b", "to", "sa", "sb"), check, "a long, b long, to long, intersection long, union long")
 
 
 def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:

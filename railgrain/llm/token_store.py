@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import lists, once_per_process, parts, save, slices, table, text_bytes
+from .common import lists, mapped, once_per_process, parts, save, slices, table, text_bytes
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -173,7 +173,7 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
                     ["key_", "run_", "local_start", "n_tokens", "ids"])
                 before += int(at[-1])
 
-    encoded = rows.mapInArrow(encode, f"key_ {kind}, run_ int, local_start long, n_tokens long, ids array<int>")
+    encoded = mapped(rows, encode, f"key_ {kind}, run_ int, local_start long, n_tokens long, ids array<int>", keep=f"encoder {file}")
     save(encoded.withColumnRenamed("key_", key), f"{path}/tokens", **_FORMAT)
     lengths = spark.read.parquet(f"{path}/tokens").groupBy("run_").agg(F.sum("n_tokens").alias("n"))
     ahead = Window.orderBy("run_").rowsBetween(Window.unboundedPreceding, -1)
@@ -223,7 +223,7 @@ def with_crc32(tokens: DataFrame) -> DataFrame:
             sums = [zlib.crc32(values[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sums, pa.int64())], [*names, "ids_crc32"])
 
-    return tokens.select(*names, "ids").mapInArrow(crc, f"{schema}, ids_crc32 long")
+    return mapped(tokens.select(*names, "ids"), crc, f"{schema}, ids_crc32 long")
 
 
 def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lists, lower_latin, slices, span_hashes, table, text_bytes, word_spans, written
+from .common import lists, lower_latin, mapped, slices, span_hashes, table, text_bytes, word_spans, written
 
 #: Labelled rows that are fitted at most; the bound of the vocabulary, the index and what is broadcast.
 EXAMPLES = 20_000
@@ -83,7 +83,7 @@ def choose_terms(examples: DataFrame) -> np.ndarray:
     totals = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not totals["toxic"] or totals["toxic"] == totals["n"]:
         return np.empty(0, np.uint64)
-    by = examples.select("text", "toxic").mapInArrow(count, "term long, toxic long, n long")
+    by = mapped(examples.select("text", "toxic"), count, "term long, toxic long, n long")
     by = by.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")).where(F.col("a") >= LEAST_DF)
     rate = totals["toxic"] / totals["n"]
     a, c = F.col("a"), F.col("n") - F.col("a")
@@ -111,7 +111,7 @@ def vectors(docs: DataFrame, vocabulary: np.ndarray, *keep: str) -> DataFrame:
                     [*keep, "terms", "tf"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return docs.select("text", *keep).mapInArrow(read, f"{kinds}terms array<int>, tf array<int>")
+    return mapped(docs.select("text", *keep), read, f"{kinds}terms array<int>, tf array<int>")
 
 
 class Index:
@@ -217,7 +217,7 @@ def classify(docs: DataFrame, labelled: DataFrame, key: str = "doc_id") -> DataF
                 [b.column(0), pa.array([x for x, _ in out], pa.float64()), pa.array([x for _, x in out], pa.list_(pa.int64()))],
                 ["key_", "score", "evidence"])
 
-    voted = all_docs.mapInArrow(vote, f"key_ {kind}, score double, evidence array<long>")
+    voted = mapped(all_docs, vote, f"key_ {kind}, score double, evidence array<long>")
     return voted.select(F.col("key_").alias(key), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 

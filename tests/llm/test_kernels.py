@@ -198,6 +198,22 @@ def test_texts_of_a_batch_share_lookups():
         assert ids[i:j].tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
+def test_tasks_drop_what_others_kept(spark):
+    def hold(batches):
+        common.once_per_process("held", lambda: [1])
+        yield from batches
+
+    def held(batches):
+        import sys
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int(hasattr(sys.modules.get("_railgrain_worker"), "held"))] * b.num_rows)], ["id"])
+
+    rows = spark.range(0, 8, 1, 1)  # one task after the other, in one worker
+    for keep in ("", "held"):
+        assert common.mapped(rows, hold, "id long").count() == 8
+        assert {r.id for r in common.mapped(rows, held, "id long", keep=keep).collect()} == {int(keep == "held")}
+
+
 def test_long_pieces_are_not_kept():
     encoder = token_store.Encoder(token_store.tokenizer_path())
     encoder.ids(["a b\tc " + "x" * 2000, "word " + "y" * 2000])
