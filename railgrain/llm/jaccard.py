@@ -7,12 +7,15 @@ short texts.  It costs no statistics, and shingles that no other set has among i
 Order 2 is by frequency among those, rarest first: of them, only so many are looked up that one of the t is among them, so a
 passage that many documents hold is looked up by documents that consist of little else.  There each shingle carries how many
 of its set's common shingles stand from it on.  At the first shingle that two sets share, both must have as many left as their
-sizes ask for, so a pair whose sets meet too late under order 2 is never made.  It carries 256 parities of its set, too:
-two sets differ in as many shingles as parities at least, so a pair that differs in too many for a link is never made either.
-Order 3 and 4 are two more hash orders, in which each candidate pair must share a first shingle too before its sets are compared.
+sizes ask for, so a pair whose sets meet too late under order 2 is never made.  It carries 256 parities of its set, too, if that
+is no longer than they can tell apart: two sets differ in as many shingles as parities at least, so a pair that differs in too
+many for a link is never made either.
+Candidate pairs get each other's parities again, now as many as their sets need, and those that differ in too many go before
+any set is read.  Order 3 and 4 are two more hash orders, in which the pairs left must share a first shingle too before their sets are compared.
 
 Pairs within a group are not all made.  Equal sets are one class from the start.  Then each shingle's sets are compared with
-one of them, drawn anew for each of a few kinds of shingles and each round, so a group is compared with a few of its members.
+one of them.  In the first round it is drawn for each of a few kinds of shingles, so a group whose sets are all alike is compared
+with a few of its members.  In later rounds each shingle draws its own, for groups of which each set is linked to few others.
 What links becomes one component, and only shingles with several components left go on, until no link is found this way or all
 remaining pairs across components are few enough.  These are compared outright.  No link that joins components is lost.
 """
@@ -36,13 +39,19 @@ SHORT = 160
 SHARE = 80
 #: Rounds against one set of each shingle, at most, before all remaining pairs are made.
 ROUNDS = 2
-#: Kinds of shingles, each of which draws the sets to compare with by a hash of its own.
+#: Kinds of shingles, each of which draws the sets to compare with by a hash of its own, in the first round.
 DRAWS = 4
 #: All remaining pairs are made as soon as there are no more than this many for each looked-up shingle.
 FEW = 8
+#: So many times more after the first round, when copies are one component and the join itself turns most of the rest down.
+LATER = 4
+#: Sets with more shingles than this are not told apart by 256 parities: half of them differ then, whether the sets are linked or not.
+TELLING = 512
 
 #: Pairs a worker gets at once; each holds two whole sets, which can have eight bytes for every word of a long text.
 PAIRS = 200
+#: Pairs a worker gets at once with no more than the parities of both.
+SKETCHES = 2000
 #: Names of the parities of a set, 64 in each.
 _PARITIES = ("p0", "p1", "p2", "p3")
 
@@ -81,6 +90,21 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, len(_PARITIES))
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of one set as bytes, four to eight of them a shingle, 256 to 16,384 in all.  Of half as many, the halves xored are the same."""
+    bits = 1 << min(max((4 * len(s) - 1).bit_length(), 8), 14)
+    kind = (mix(s ^ _KINDS) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(kind, minlength=bits) & 1).astype(np.uint8))
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many shingles two sets differ at least, by their sketches."""
+    x, y = sorted((x, y), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _overlap(n):
     """Shingles that a set of n shares with any set it is linked to, at least."""
     return -(-SHARE * n // 100)
@@ -132,16 +156,17 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """rep and its whole set, for rows of text, rep."""
+    """rep, its sketch and its whole set, for rows of text, rep."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, 0):
                 sets = shingle_sets(*text_bytes(b.column(0)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"])
+                    [b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "odd", "shingles"])
 
-    return mapped(texts.select("text", "rep"), read, "rep long, shingles binary")
+    return mapped(texts.select("text", "rep"), read, "rep long, n long, odd binary, shingles binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -160,8 +185,28 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return overlap(a, b) > 0
 
 
+def _not_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b, to) whose sketches differ in no more than the sets of a link do."""
+    held = pairs.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a")
+    held = held.join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(3).to_numpy() + b.column(4).to_numpy()
+            most = n - 2 * -(-SHARE * n // (100 + SHARE))
+            found = [apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
+                     for x, y in zip(b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True)]
+            on = pa.array(np.flatnonzero(np.array(found, np.int64) <= most), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(c).take(on) for c in range(3)], ["a", "b", "to"])
+
+    return mapped(held.select("a", "b", "to", "na", "nb", "oa", "ob"), check, "a long, b long, to long")
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b, to) whose sets are linked, with the sizes of intersection and union."""
+    pairs = written(_not_apart(pairs, sets), "near", rows=SKETCHES)
+    paired = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    sets = sets.join(written(paired, "paired"), "rep", "left_semi")
     held = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     held = held.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
 
@@ -185,9 +230,12 @@ def _lookups(signatures: DataFrame, reps: DataFrame) -> DataFrame:
     """
     each = signatures.where("n > 0").select("row", F.explode("first").alias("shingle"))
     seen = written(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
-    common = each.join(seen.hint("shuffle_hash"), "shingle").groupBy("row").agg(
+    # Dealt out before lists are made, or each row would travel as a list of its own.
+    common = each.join(seen.hint("shuffle_hash"), "shingle").repartition("row").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))  # no more than the set's own first shingles
-    sizes = signatures.join(reps.select(F.col("rep").alias("row")), "row").select("row", "n", "need", "unread", *_PARITIES)
+    # Of long sets they say nothing, and each lookup would carry them.
+    telling = [F.when(F.col("n") <= TELLING, F.col(p)).otherwise(0).alias(p) for p in _PARITIES]
+    sizes = signatures.join(reps.select(F.col("rep").alias("row")), "row").select("row", "n", "need", "unread", *telling)
     ranked = common.join(sizes, "row").where("size(common) >= need")
     last = (F.size("common") - F.col("need") + 1).cast("int")
     ranked = ranked.select(F.col("row").alias("rep"), "n", "unread", *_PARITIES, F.size("common").alias("size"),
@@ -206,7 +254,8 @@ def _may_link() -> Column:
     """
     needed = f"(({SHARE} * (na + n) + {99 + SHARE}) div {100 + SHARE})"
     differ = " + ".join(f"bit_count({p} ^ {p}_a)" for p in _PARITIES)
-    return F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na) and {differ} <= na + n - 2 * {needed} and "
+    return F.expr(f"{SHARE} * greatest(n, na) <= 100 * least(n, na) and "
+                  f"(greatest(n, na) > {TELLING} or {differ} <= na + n - 2 * {needed}) and "
                   f"least(left, left_a) >= {needed} - greatest(unread, unread_a)")
 
 
@@ -286,18 +335,20 @@ def component_labels(docs: DataFrame, rows: DataFrame, signatures: DataFrame, lo
     labelled = lookups.withColumn("label", F.col("rep"))
     done, stuck = None, False  # pairs compared so far; whether the last round found no link
     for turn in range(ROUNDS + 1):
-        # Shingles that several components are still looked up by.
-        by = labelled.groupBy("shingle", "label").agg(F.count("*").alias("c"))
-        open_ = by.groupBy("shingle").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"),
-                                          F.count("*").alias("labels")).where("labels > 1")
-        labelled = written(labelled.join(open_.select("shingle"), "shingle"), "open")
+        if turn == 0:  # each class is a component of its own, so a shingle's pairs are all across components
+            open_ = labelled.groupBy("shingle").agg(F.count("*").alias("c")).withColumn("cc", F.col("c"))
+        else:  # shingles that several components are still looked up by
+            by = labelled.groupBy("shingle", "label").agg(F.count("*").alias("c"))
+            open_ = written(by.groupBy("shingle").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"),
+                                                      F.count("*").alias("labels")).where("labels > 1"), "counts")
+            labelled = written(labelled.join(open_.select("shingle"), "shingle"), "open")
         size = open_.agg(F.sum("c").alias("rows"), (F.sum(F.col("c") * F.col("c") - F.col("cc")) / 2).alias("pairs")).first()
         if not size["rows"]:
             break
-        last = stuck or turn == ROUNDS or size["pairs"] <= FEW * size["rows"]
+        last = stuck or turn == ROUNDS or size["pairs"] <= FEW * (LATER if turn else 1) * size["rows"]
         mine = _asking(labelled, F.col("label").alias("la"))
         if not last:
-            draw = F.xxhash64("a", F.pmod("shingle", F.lit(DRAWS)), F.lit(turn)).alias("draw")
+            draw = F.xxhash64("a", F.col("shingle") if turn else F.pmod("shingle", F.lit(DRAWS)), F.lit(turn)).alias("draw")
             lead = mine.groupBy("shingle").agg(F.min(
                 F.struct(draw, "la", "a", "na", "unread_a", "left_a", *(f"{p}_a" for p in _PARITIES))).alias("l"))
             lead = lead.select("shingle", "l.*").drop("draw")

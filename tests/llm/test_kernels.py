@@ -284,3 +284,14 @@ def test_parities_differ_in_no_more_kinds_than_sets_in_shingles():
             found = int(np.bitwise_count(odd[i] ^ odd[j]).sum())
             assert found <= apart and found % 2 == apart % 2
     assert jaccard.parities([]).shape == (0, 4)
+
+
+def test_sketches_tell_sets_apart_that_are_no_link():
+    rng = np.random.default_rng(6)
+    for n in (1, 40, 300, 2500):
+        base = np.unique(rng.integers(0, 2**63, 2 * n, np.uint64))
+        for k in (n, n - n // 10, n - n // 4, n // 2):
+            for other in (base[n - k:2 * n - k], base[n - k:n], base[n - k:2 * n - k + n // 5]):
+                a, apart = base[:n], len(np.setxor1d(base[:n], other))
+                found = jaccard.apart(jaccard.sketch(a), jaccard.sketch(other))
+                assert found <= apart and found % 2 == apart % 2 and found >= 0.6 * apart - 2

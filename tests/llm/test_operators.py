@@ -132,6 +132,35 @@ def test_texts_of_shared_passages_make_no_pairs(spark, documents, prose, monkeyp
     assert 1 <= sum(seen) <= 3
 
 
+def test_a_group_of_few_links_each_becomes_one_component_before_all_pairs(spark, documents, prose, monkeypatch):
+    """All members share most of their shingles, but are linked only to those of which four variants at most differ."""
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    seen, links = [], jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda pairs, sets: seen.append(pairs.count()) or links(pairs, sets))
+    rng = random.Random(12)
+    base, rows = prose(rng, 200).split(), []
+    for i in range(300):
+        words = list(base)
+        for place in range(6, 198, 12):
+            words[place] = rng.choice(("north", "south"))
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(documents(*rows)).collect()}
+    want = {r[0]: r[2] for r in brute_components(rows)}
+    linked = Counter(want.values()).most_common(1)[0][1]
+    assert got == want and linked > 250 and seen[2] < 1500
+
+
+def test_parities_of_long_sets_are_not_carried(spark, documents, prose):
+    rng = random.Random(13)
+    texts = [prose(rng, n) for n in (90, 90, 900, 900)]
+    rows = [(i, t) for i, t in enumerate([x + end for x in texts for end in ("", " and one end more")])]
+    lookups = jaccard._prepared(documents(*rows), "doc_id")[-1].collect()
+    assert {r["n"] > 512 for r in lookups} == {False, True}
+    assert all(any(r[p] for p in jaccard._PARITIES) == (r["n"] <= 512) for r in lookups)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(documents(*rows)).collect()}
+    assert got == {i: i - i % 2 for i in range(8)}
+
+
 def test_all_links_inside_components_too(spark, documents, prose):
     rng = random.Random(21)
     rows = odd_rows(rng, prose)
