@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.decoders import days_run
-from ..session import materialize
+from ..session import is_there, scratch_path, write_to
 
 DATE = dt.date(1998, 5, 9)
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -150,15 +150,16 @@ def _mentions(sql: str, name: str) -> bool:
     return name in words
 
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table, written once per session and read from there by all queries."""
+    """A derived table, written once per session and read from there by all queries; again if it was cleared since."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        _STORED[key] = materialize(build(), name)
-    return _STORED[key]
+    if key not in _STORED or not is_there(spark, _STORED[key][0]):
+        path = scratch_path(spark, name)
+        _STORED[key] = path, write_to(build(), path)
+    return _STORED[key][1]
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

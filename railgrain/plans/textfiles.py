@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import is_there, scratch_path
 from ..sources import layouts as L
 from .fixtures import Tables, coded
 
@@ -53,7 +53,7 @@ def _write(rows: DataFrame, label: str) -> str:
 
 def _written(tables: Tables, label: str, build) -> str:
     key = (tables.spark.sparkContext.applicationId, tables.sf_dir, label)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not is_there(tables.spark, _WRITTEN[key].removesuffix("/*")):
         _WRITTEN[key] = build()
     return _WRITTEN[key]
 

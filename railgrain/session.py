@@ -65,9 +65,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder still exists: the checkpoint folder may be cleared while a session goes on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def write_to(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a folder and return a scan of the written table."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_to(df, scratch_path(df.sparkSession, label))
