@@ -35,6 +35,7 @@ spark.stop()
 
 NAMES: list[str] = [
     "archive_members",
+    "archived_stations",
 ]
 
 
