@@ -36,6 +36,7 @@ spark.stop()
 NAMES: list[str] = [
     "archive_members",
     "archived_stations",
+    "associations",
 ]
 
 
