@@ -37,6 +37,7 @@ NAMES: list[str] = [
     "archive_members",
     "archived_stations",
     "associations",
+    "changes_en_route",
 ]
 
 
