@@ -38,6 +38,7 @@ NAMES: list[str] = [
     "archived_stations",
     "associations",
     "changes_en_route",
+    "day_timetable",
 ]
 
 
