@@ -39,6 +39,7 @@ NAMES: list[str] = [
     "associations",
     "changes_en_route",
     "day_timetable",
+    "decode_chunks",
 ]
 
 
