@@ -40,6 +40,7 @@ NAMES: list[str] = [
     "changes_en_route",
     "day_timetable",
     "decode_chunks",
+    "decode_days",
 ]
 
 
