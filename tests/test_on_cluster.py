@@ -41,6 +41,7 @@ NAMES: list[str] = [
     "day_timetable",
     "decode_chunks",
     "decode_days",
+    "direct_connections",
 ]
 
 
