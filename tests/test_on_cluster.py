@@ -42,6 +42,7 @@ NAMES: list[str] = [
     "decode_chunks",
     "decode_days",
     "direct_connections",
+    "direct_connections_by_time",
 ]
 
 
