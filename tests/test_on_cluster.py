@@ -43,6 +43,7 @@ NAMES: list[str] = [
     "decode_days",
     "direct_connections",
     "direct_connections_by_time",
+    "duplicate_key_check",
 ]
 
 
