@@ -44,6 +44,7 @@ NAMES: list[str] = [
     "direct_connections",
     "direct_connections_by_time",
     "duplicate_key_check",
+    "earliest_departures",
 ]
 
 
