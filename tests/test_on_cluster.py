@@ -45,6 +45,7 @@ NAMES: list[str] = [
     "direct_connections_by_time",
     "duplicate_key_check",
     "earliest_departures",
+    "field_check",
 ]
 
 
