@@ -46,6 +46,7 @@ NAMES: list[str] = [
     "duplicate_key_check",
     "earliest_departures",
     "field_check",
+    "field_checks",
 ]
 
 
