@@ -47,6 +47,7 @@ NAMES: list[str] = [
     "earliest_departures",
     "field_check",
     "field_checks",
+    "find_station",
 ]
 
 
