@@ -48,6 +48,7 @@ NAMES: list[str] = [
     "field_check",
     "field_checks",
     "find_station",
+    "find_station_indexed",
 ]
 
 
