@@ -49,6 +49,7 @@ NAMES: list[str] = [
     "field_checks",
     "find_station",
     "find_station_indexed",
+    "fixed_links",
 ]
 
 
