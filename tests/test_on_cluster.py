@@ -50,6 +50,7 @@ NAMES: list[str] = [
     "find_station",
     "find_station_indexed",
     "fixed_links",
+    "fixed_width_slices",
 ]
 
 
