@@ -51,6 +51,7 @@ NAMES: list[str] = [
     "find_station_indexed",
     "fixed_links",
     "fixed_width_slices",
+    "full_timetable",
 ]
 
 
