@@ -52,6 +52,7 @@ NAMES: list[str] = [
     "fixed_links",
     "fixed_width_slices",
     "full_timetable",
+    "grid_to_latlon",
 ]
 
 
