@@ -53,6 +53,7 @@ NAMES: list[str] = [
     "fixed_width_slices",
     "full_timetable",
     "grid_to_latlon",
+    "interchange_times",
 ]
 
 
