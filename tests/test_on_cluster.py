@@ -54,6 +54,7 @@ NAMES: list[str] = [
     "full_timetable",
     "grid_to_latlon",
     "interchange_times",
+    "intermediate_locations",
 ]
 
 
