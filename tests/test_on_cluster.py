@@ -55,6 +55,7 @@ NAMES: list[str] = [
     "grid_to_latlon",
     "interchange_times",
     "intermediate_locations",
+    "isochron",
 ]
 
 
