@@ -13,22 +13,30 @@ def timetable_sequence(scan: TimetableScan) -> DataFrame:
     """Blocks with records in an illegal order: ``(file, codes, reason)``.
 
     Inside a block the order is tested with a pattern.  Across blocks, every file must start with a header
-    and nothing may follow its end record; that needs only two aggregates per file.
+    and nothing may follow its end record; that needs only a few numbers of each split of a file.  Both come from one
+    pass over the text, which gives one row a split, with the codes of its illegal blocks.
     """
-    blocks = scan.blocks()
-    inside = blocks.filter(~legal_sequence()).select(
-        "file", record_types().alias("codes"), F.lit("order of records").alias("reason"))
-    header, end = F.col("block").startswith("HD"), F.col("block").rlike(r"\nZZ[^\n]*\z")  # a headless file has no HD
-    files = blocks.groupBy("file").agg(
-        F.min("position").alias("first"), F.min(F.when(header, F.col("position"))).alias("first_header"),
-        F.max("position").alias("last"), F.min(F.when(end, F.col("position"))).alias("first_end"),
-        F.count_if(header).alias("headers"))
-    no_start = files.filter(
-        F.col("first_header").isNull() | (F.col("first") != F.col("first_header")) | (F.col("headers") > 1)
-    ).select("file", F.lit("").alias("codes"), F.lit("start of file").alias("reason"))
-    no_end = files.filter(F.col("last") > F.col("first_end")).select(
-        "file", F.lit("").alias("codes"), F.lit("record after end").alias("reason"))
-    return inside.union(no_start).union(no_end)
+    blocks, block = scan.blocks(), F.col("block")
+    header = block.startswith("HD")  # a headless file has no HD
+    end = block.contains("\nZZ") & F.substring_index(block, "\n", -1).startswith("ZZ")
+    row = F.col("position.row")
+    splits = blocks.groupBy("file", F.col("position.split").alias("split")).agg(
+        F.min(row).alias("first"), F.min(F.when(header, row)).alias("first_header"), F.max(row).alias("last"),
+        F.min(F.when(end, row)).alias("first_end"), F.count_if(header).alias("headers"),
+        F.collect_list(F.when(~legal_sequence(), record_types())).alias("illegal"))
+    of_file = Window.partitionBy("file")
+    at = lambda name: F.when(F.col(name).isNotNull(), F.struct("split", name))
+    files = splits.select(
+        "file", "split", "illegal", F.min(at("first")).over(of_file).alias("first"), F.min(at("first_header")).over(of_file).alias("first_header"),
+        F.max(at("last")).over(of_file).alias("last"), F.min(at("first_end")).over(of_file).alias("first_end"),
+        F.sum("headers").over(of_file).alias("headers"))
+    no_start = F.col("first_header").isNull() | (F.col("first") != F.col("first_header")) | (F.col("headers") > 1)
+    across = F.array_compact(F.array(
+        F.when(no_start, F.lit("start of file")), F.when(F.col("last") > F.col("first_end"), F.lit("record after end"))))
+    found = lambda codes, reason: F.struct(codes.alias("codes"), reason.alias("reason"))
+    inside = F.transform("illegal", lambda codes: found(codes, F.lit("order of records")))
+    once_a_file = F.when(F.col("split") == F.col("first.split"), F.transform(across, lambda reason: found(F.lit(""), reason)))
+    return files.select("file", F.inline(F.concat(inside, F.coalesce(once_a_file, F.array()))))
 
 
 def station_sequence(scan: StationScan) -> DataFrame:

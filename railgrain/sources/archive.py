@@ -1,7 +1,7 @@
 """Zip archives of timetable data.
 
 A zip file cannot be split, so an archive is the unit of parallel work: each is opened by one task, which
-streams its members out in batches and never holds more than one uncompressed batch.
+streams its members out in pieces and never holds more than one uncompressed piece.
 """
 
 from __future__ import annotations
@@ -9,11 +9,11 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -21,7 +21,8 @@ from ..session import scratch_path
 MEMBER_SUFFIXES = ("mca", "ztr", "msn", "tsi", "alf")
 
 LINES = "archive string, member string, line_no long, value string"
-_BATCH_LINES = 20_000
+#: What is unpacked of a member at once.
+_PIECE_BYTES = 1 << 20
 
 
 def wanted_suffixes(old_naming: bool = False) -> tuple[str, ...]:
@@ -34,21 +35,48 @@ def read_archives(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return files.select("path", "content")
 
 
-def _batches(name: str, member: str, text: io.TextIOBase) -> Iterator[pd.DataFrame]:
-    rows: list[str] = []
-    done = 0
-    for line in text:
-        rows.append(line.rstrip("\r\n"))
-        if len(rows) == _BATCH_LINES:
-            yield _frame(name, member, done, rows)
-            done, rows = done + len(rows), []
-    if rows:
-        yield _frame(name, member, done, rows)
+def _texts(stream: IO[bytes]) -> Iterator[str]:
+    """A member's text in pieces of whole lines; lines are separated by newlines and lose the carriage returns at their ends."""
 
+    def shown(data: bytes) -> str:
+        text = data.decode("latin-1")
+        while "\r\n" in text:
+            text = text.replace("\r\n", "\n")
+        return text.rstrip("\r")
 
-def _frame(name: str, member: str, start: int, rows: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"archive": name, "member": member,
-                         "line_no": range(start, start + len(rows)), "value": rows})
+    held: list[bytes] = []
+    while data := stream.read(_PIECE_BYTES):
+        cut = data.rfind(b"\n")
+        if cut < 0:
+            held.append(data)
+            continue
+        yield shown(b"".join([*held, data[:cut]]))
+        held = [data[cut + 1:]]
+    if rest := b"".join(held):
+        yield shown(rest)
+
+
+def _read(archives: DataFrame, members: tuple[str, ...], by_suffix: bool, by_line: bool) -> DataFrame:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path"), batch.column("content")):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                    found = {n[-3:] if by_suffix else n: n for n in archive.namelist()}
+                    for member in members:
+                        if member not in found:
+                            raise ValueError(f"{name} has no member {member}")
+                        done = 0
+                        with archive.open(found[member]) as stream:
+                            for text in _texts(stream):
+                                lines = text.split("\n")
+                                rows = lines if by_line else [text]
+                                yield pa.RecordBatch.from_arrays([
+                                    pa.array([name.as_py()] * len(rows), pa.string()), pa.array([member] * len(rows), pa.string()),
+                                    pa.array(range(done, done + len(rows)), pa.int64()), pa.array(rows, pa.string()),
+                                ], names=["archive", "member", "line_no", "value"])
+                                done += len(lines)
+
+    return archives.mapInArrow(unpack, LINES)
 
 
 def member_lines(archives: DataFrame, members: tuple[str, ...], by_suffix: bool = True) -> DataFrame:
@@ -57,20 +85,12 @@ def member_lines(archives: DataFrame, members: tuple[str, ...], by_suffix: bool
     With ``by_suffix`` a member is known by the last three characters of its name and the last one with
     that ending wins; otherwise names must match exactly.  An archive without a wanted member is an error.
     """
+    return _read(archives, members, by_suffix, True)
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    found = {n[-3:] if by_suffix else n: n for n in archive.namelist()}
-                    for member in members:
-                        if member not in found:
-                            raise ValueError(f"{name} has no member {member}")
-                        with archive.open(found[member]) as stream:
-                            text = io.TextIOWrapper(stream, encoding="latin-1", newline="\n")
-                            yield from _batches(name, member, text)
 
-    return archives.mapInPandas(unpack, LINES)
+def member_texts(archives: DataFrame, members: tuple[str, ...], by_suffix: bool = True) -> DataFrame:
+    """The same lines, many to a row, for what writes them as they are; ``line_no`` is that of a row's first line."""
+    return _read(archives, members, by_suffix, False)
 
 
 def stage_archives(spark: SparkSession, source: str | DataFrame, old_naming: bool = False,
@@ -80,11 +100,11 @@ def stage_archives(spark: SparkSession, source: str | DataFrame, old_naming: boo
     The staged files keep their line order, so the scans can split them freely.
     """
     wanted = suffixes or wanted_suffixes(old_naming)
-    return stage_lines(member_lines(read_archives(spark, source), wanted))
+    return stage_lines(member_texts(read_archives(spark, source), wanted))
 
 
 def stage_lines(lines: DataFrame) -> dict[str, str]:
-    """Write unpacked lines to one folder per suffix.
+    """Write unpacked lines, one or many to a row, to one folder per suffix.
 
     All lines of an archive come from one task, in order.  Sorting inside the partitions by what the
     writer partitions by, then by line, keeps that order in the files without a shuffle.
